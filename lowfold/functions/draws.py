@@ -8,6 +8,7 @@ taken under two moduli, break up the lattice a linear recurrence would leave.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -71,3 +72,22 @@ def pick_sql(purpose: str, seed: int, epoch: int, i: str, j: str, n: str) -> str
     high = draw_sql(purpose, seed, epoch, i, j)
     low = draw_sql(purpose, seed + 1, epoch, i, j)
     return f"(({high} * {PRIME_A} + {low}) % {n})"
+
+
+def draw_array(purpose: str, seed: int, epoch: int, i: np.ndarray, j: np.ndarray | int) -> np.ndarray:
+    """:func:`draw` for arrays, inside a task."""
+    m = MULTIPLIERS
+    x = (_start(purpose, seed, epoch) + i % PRIME_A * m[2] + (i >> 31)) % PRIME_A
+    x = (x * x + m[0]) % PRIME_B
+    x = (x * m[1] + j % PRIME_A * m[3]) % PRIME_A
+    x = (x * x + m[1]) % PRIME_B
+    return (x * x + m[2]) % PRIME_A % PRIME_B
+
+
+def uniform_array(purpose: str, seed: int, epoch: int, i: np.ndarray, j: np.ndarray | int) -> np.ndarray:
+    return draw_array(purpose, seed, epoch, i, j) / float(PRIME_B)
+
+
+def pick_array(purpose: str, seed: int, epoch: int, i: np.ndarray, j: np.ndarray | int, n: int) -> np.ndarray:
+    high = draw_array(purpose, seed, epoch, i, j)
+    return (high * PRIME_A + draw_array(purpose, seed + 1, epoch, i, j)) % n
