@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 TILE_CELLS = 2_000_000  # distances held at once, 16 MB
+FEW_COLUMNS = 8  # up to here differences are summed directly
 PAIR_SLICE = 65_536  # pairs compared at once in direct form
 
 
@@ -52,7 +53,8 @@ def pair_distance(a: np.ndarray, b: np.ndarray, metric: str, p: float) -> np.nda
 
 def tile_distance(q: np.ndarray, x: np.ndarray, metric: str, p: float) -> np.ndarray:
     """All distances between two blocks; euclidean may be off by :func:`slack`."""
-    if metric == "euclidean" or (metric == "minkowski" and p == 2.0):
+    euclidean = metric == "euclidean" or (metric == "minkowski" and p == 2.0)
+    if euclidean and q.shape[1] > FEW_COLUMNS:
         squares = (q * q).sum(axis=1)[:, None] + (x * x).sum(axis=1)[None, :]
         squares -= 2.0 * (q @ x.T)
         return np.sqrt(np.maximum(squares, 0.0, out=squares), out=squares)
@@ -63,8 +65,12 @@ def tile_distance(q: np.ndarray, x: np.ndarray, metric: str, p: float) -> np.nda
             out += gap
         elif metric == "chebyshev":
             np.maximum(out, gap, out=out)
+        elif euclidean:
+            out += gap * gap
         else:
             out += gap**p
+    if euclidean:
+        return np.sqrt(out, out=out)
     return out ** (1.0 / p) if metric == "minkowski" else out
 
 
