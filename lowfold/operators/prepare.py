@@ -79,19 +79,25 @@ def dense_index(df: DataFrame, id_col: str, steps: StepStore) -> DataFrame:
     if isinstance(df.schema[id_col].dataType, T.IntegralType) and bounds[0] == 0 and bounds[1] == bounds[2] - 1:
         return df.withColumn("idx", F.col(id_col).cast("bigint"))
     ordered = df.repartitionByRange(F.col(id_col)).sortWithinPartitions(id_col)
+    return row_numbers(ordered, steps, "idx")
+
+
+def row_numbers(df: DataFrame, steps: StepStore, name: str = "id") -> DataFrame:
+    """Number rows 0..N-1 by partition and place in it, for tables without a key.
+
+    The rows are written once with their place, so the numbers stay put; only
+    the row count of each partition reaches the driver.
+    """
     place = F.monotonically_increasing_id()
-    written = steps.save(
-        ordered.withColumn("_part", F.shiftright(place, 33)).withColumn("_at", place.bitwiseAND((1 << 33) - 1)),
-        "ordered",
-    )
-    sizes = written.groupBy("_part").count().orderBy("_part").collect()
+    part, at = F.shiftright(place, 33), place.bitwiseAND((1 << 33) - 1)
+    written = steps.save(df.withColumn("_part", part).withColumn("_at", at), "numbered")
     offsets, total = [], 0
-    for r in sizes:
+    for r in written.groupBy("_part").count().orderBy("_part").collect():
         offsets.append((r["_part"], total))
         total += r["count"]
     table = df.sparkSession.createDataFrame(offsets, "_part BIGINT, _offset BIGINT")
     joined = written.join(F.broadcast(table), "_part")
-    return joined.withColumn("idx", F.col("_offset") + F.col("_at")).drop("_part", "_at", "_offset")
+    return joined.withColumn(name, F.col("_offset") + F.col("_at")).drop("_part", "_at", "_offset")
 
 
 def assemble(df: DataFrame, id_col: str, features: Sequence[str] | str) -> DataFrame:
