@@ -1 +1,9 @@
 """Manifold embedding, projection, clustering and quality scores as Spark jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Helpers that run inside tasks travel with the task, so that executors need no
+# installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
