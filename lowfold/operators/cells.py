@@ -30,6 +30,7 @@ from lowfold.session import StepStore
 BLOCK_ROWS = 8192
 MAX_CELLS = 16_384
 MAX_CELL_BYTES = 64 << 20
+Size = tuple[int, int]
 PAIR_KEYS = ["qcell", "qsub", "tcell", "tsub"]
 
 
@@ -72,6 +73,14 @@ class Cells:
         return np.where(reached.any(axis=1), picked, np.inf)
 
 
+def table_size(points: DataFrame) -> Size:
+    """Number of rows and width of the vectors."""
+    total, width = points.agg(F.count("*"), F.max(F.size("features"))).first()
+    if not total:
+        raise ValueError("there are no rows")
+    return total, width
+
+
 def search_space(points: DataFrame, metric: str, p: float = 2.0) -> tuple[DataFrame, str]:
     """Rows and metric for a search; ``cosine`` becomes unit rows + euclidean."""
     name = metric_name(metric)
@@ -111,17 +120,14 @@ def split_blocks(assigned: DataFrame, counts: DataFrame, name: str) -> DataFrame
 
 
 def build_cells(
-    points: DataFrame, metric: str, p: float, steps: StepStore, block_rows: int = BLOCK_ROWS
+    points: DataFrame, metric: str, p: float, steps: StepStore, block_rows: int = BLOCK_ROWS, size: Size | None = None
 ) -> tuple[Cells, DataFrame]:
     """Cells of ``points(id, features)`` and its rows as (cell, sub, id, features)."""
-    head = points.select(F.size("features").alias("d")).first()
-    if head is None:
-        raise ValueError("there are no rows")
-    total = points.count()
+    total, width = size or table_size(points)
     if total <= block_rows:
-        cells = Cells(np.zeros((1, head.d)), np.array([np.inf]), np.array([total]), metric, p, block_rows)
+        cells = Cells(np.zeros((1, width)), np.array([np.inf]), np.array([total]), metric, p, block_rows)
         return cells, points.withColumn("cell", F.lit(0)).withColumn("sub", F.lit(0))
-    pivots = min(MAX_CELLS, MAX_CELL_BYTES // (8 * max(1, head.d)), 4 * math.ceil(total / block_rows))
+    pivots = min(MAX_CELLS, MAX_CELL_BYTES // (8 * max(1, width)), 4 * math.ceil(total / block_rows))
     chosen = (
         points.orderBy(draw("pivot", 0, 0, F.col("id"), F.lit(0)), "id").limit(pivots).select("features").collect()
     )

@@ -75,7 +75,8 @@ def _join(
     queries: DataFrame, train: DataFrame, k: int, metric: str, p: float, skip_self: bool, block_rows: int
 ) -> DataFrame:
     queries, train = queries.select("id", "features"), train.select("id", "features")
-    total = train.count()
+    size = C.table_size(train)
+    total = size[0]
     if skip_self and k >= total:
         raise ValueError(f"{k} neighbours asked for, but a row has only {total - 1} others")
     k = min(k, total)
@@ -83,16 +84,25 @@ def _join(
     crowded = total > block_rows and _most_copies(train) > many
     if not crowded and not skip_self:
         crowded = _most_copies(queries) > many
-    return (_join_copies if crowded else _search)(queries, train, k, metric, p, skip_self, block_rows)
+    if crowded:
+        return _join_copies(queries, train, k, metric, p, skip_self, block_rows)
+    return _search(queries, train, k, metric, p, skip_self, block_rows, size)
 
 
 def _search(
-    queries: DataFrame, train: DataFrame, k: int, metric: str, p: float, skip_self: bool, block_rows: int
+    queries: DataFrame,
+    train: DataFrame,
+    k: int,
+    metric: str,
+    p: float,
+    skip_self: bool,
+    block_rows: int,
+    size: C.Size | None = None,
 ) -> DataFrame:
     steps = StepStore(queries.sparkSession, "knn")
     chord = C.metric_name(metric) == "cosine"
     train, name = C.search_space(train, metric, p)
-    cells, data = C.build_cells(train, name, p, steps, block_rows)
+    cells, data = C.build_cells(train, name, p, steps, block_rows, size)
     if skip_self:
         placed = data.withColumnRenamed("cell", "qcell").withColumnRenamed("sub", "qsub")
     else:

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from lowfold.session import StepStore
 
+WIDE = 128
+
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     """Names of numeric columns in table order; booleans, text and dates are not."""
@@ -145,7 +147,16 @@ def scaler_fit_vectors(points: DataFrame) -> DataFrame:
 
 
 def scaler_apply(points: DataFrame, scaler: DataFrame) -> DataFrame:
-    """Standardise ``points`` with a one-row scaler (always small enough to broadcast)."""
+    """Standardise ``points`` with a one-row scaler.
+
+    The row's numbers become literals of one compiled projection; very wide
+    vectors take them from a broadcast row instead.
+    """
+    row = scaler.select("mean", "scale").first()
+    if len(row["mean"]) <= WIDE:
+        vector = F.col("features")
+        z = [(vector[n] - F.lit(m)) / F.lit(s) for n, (m, s) in enumerate(zip(row["mean"], row["scale"]))]
+        return points.withColumn("features", F.array(*z))
     joined = points.join(F.broadcast(scaler.select("mean", "scale")))
     z = F.transform("features", lambda v, i: (v - F.get("mean", i)) / F.get("scale", i))
     return joined.withColumn("features", z).drop("mean", "scale")

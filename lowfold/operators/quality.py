@@ -153,7 +153,7 @@ def silhouette_rows(
     own = F.col("to") == F.col("cluster")
     means = sums.groupBy("id", "cluster").agg(
         F.max(F.when(own, F.col("size"))).alias("size"),
-        F.max(F.when(own, F.col("total") / (F.col("size") - 1))).alias("a"),
+        F.max(F.when(own & (F.col("size") > 1), F.col("total") / (F.col("size") - 1))).alias("a"),
         F.min(F.when(~own, F.col("total") / F.col("size"))).alias("b"),
     )
     widest = F.greatest("a", "b")

@@ -141,8 +141,8 @@ def test_spectral_two_blocks(spark):
 def test_spectral_blocks_agree(spark):
     knn = knn_self(points(spark, RNG.normal(size=(90, 3))), 6)
     edges = fuzzy.fuzzy_union(fuzzy.membership(knn, 6))
-    one = spectral_start(edges, 2, StepStore(spark, "test"))
-    many = spectral_start(edges, 2, StepStore(spark, "test"), block_rows=25)
+    one = spectral_start(edges, 2, StepStore(spark, "test"), outer=2, inner=3)
+    many = spectral_start(edges, 2, StepStore(spark, "test"), outer=2, inner=3, block_rows=45)
     assert np.allclose(_vectors(one), _vectors(many), atol=1e-8)
 
 
