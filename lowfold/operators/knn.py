@@ -36,7 +36,8 @@ def reverse_graph(knn: DataFrame) -> DataFrame:
 
 
 def _explode_lists(state: DataFrame) -> DataFrame:
-    return state.select("id", F.explode(F.arrays_zip("nbr", "dist")).alias("e")).select("id", "e.nbr", "e.dist")
+    rows = state.select("id", F.posexplode(F.arrays_zip("nbr", "dist")).alias("pos", "e"))
+    return rows.select("id", "e.nbr", "e.dist", (F.col("pos") + 1).alias("rank"))
 
 
 def _most_copies(points: DataFrame) -> int:
@@ -159,16 +160,17 @@ def _search(
     else:
         state = C.meet(C.home_visits(placed, cells), data, first_look, state_schema)
     if cells.blocks.sum() == 1:
-        pairs = _explode_lists(state)
+        ranked = _explode_lists(state)
     else:
         state = steps.save(state, "first-look")
         need = k + 1 if skip_self else k
         reached = C.reached_cells(state.select("qcell", "qsub", "id", "features", "bound"), cells, need)
         visits = C.further_visits(steps.save(reached, "reached"), cells)
-        pairs = _explode_lists(state).unionByName(C.meet(visits, data, later_look, PAIR_SCHEMA))
+        pairs = _explode_lists(state).drop("rank").unionByName(C.meet(visits, data, later_look, PAIR_SCHEMA))
+        ranked = top_k(pairs, k)
     if chord:
-        pairs = pairs.withColumn("dist", F.col("dist") * F.col("dist") / 2)
-    return top_k(pairs, k)
+        ranked = ranked.withColumn("dist", F.col("dist") * F.col("dist") / 2)
+    return ranked
 
 
 def knn_self(

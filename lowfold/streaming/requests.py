@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -28,7 +30,7 @@ def stream_rollup(
     """
     log = spark.readStream.schema(LOG_SCHEMA).parquet(log_path)
     rates = windowed_rollup(log, window, watermark)
-    folder = checkpoint or f"{step_root(spark)}/rollup-{abs(hash(out_path))}"
+    folder = checkpoint or f"{step_root(spark)}/rollup-{hashlib.md5(out_path.encode()).hexdigest()}"
     return (
         rates.writeStream.outputMode("append")
         .format("parquet")
