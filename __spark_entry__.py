@@ -18,6 +18,13 @@ from lowfold.plans.umap import Umap
 from lowfold.session import StepStore
 from lowfold.sources import tables
 
+try:
+    from lowfold.llm import registered as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("lowfold.llm", "corpus_pipeline"):
+        raise
+    llm = None
+
 K = 15
 A, B, LR, SEED, MIN_DIST = 1.577, 0.895, 0.1, 42, 0.1
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -287,6 +294,14 @@ def _windows(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _own_queries() | (llm.QUERIES if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return _own_sql() | (llm.SQL if llm else {})
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "numeric_select": lambda s, d: prepare.numeric_select(_table(s, d, "lineitem")),
         "target_excluded": lambda s, d: prepare.numeric_select(_table(s, d, "part"), "p_size", ["p_name"]),
@@ -444,7 +459,7 @@ RATES = """count(*) AS requests, round(avg(latency_ms), 6) + 0.0 AS avg_latency_
       round(avg(CASE WHEN status < 400 THEN 0 ELSE 1 END), 6) + 0.0 AS error_rate"""
 
 
-def oracle_sql() -> dict[str, str]:
+def _own_sql() -> dict[str, str]:
     near = _knn_sql()
     edges = _edges_sql()
     spots = f"{edges}, {SPOTS}"
