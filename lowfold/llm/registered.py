@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, pii, quality_rules
 
-QUERIES = {"op1_mix": mixing.query}
+QUERIES = {"op1_mix": mixing.query, "op4_pii": pii.query, "op7_quality_rules": quality_rules.query}
 SQL = {"op1_mix": mixing.ORACLE}

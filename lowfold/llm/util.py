@@ -89,3 +89,10 @@ def components(edges: DataFrame, store: StepStore) -> DataFrame:
         moved = later.select(F.col("v").alias("component"), F.col("p").alias("__p"))
         found = with_small(found, moved, ["component"], "left").select("id", F.coalesce("__p", "component").alias("component"))
     return store.save(found, "components")
+
+
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Arrow batches of few rows, unless the user chose a size, so that very long texts stay within a worker's memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
