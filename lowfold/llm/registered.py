@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, mixing, pii, quality_rules
+from . import licenses, mixing, packing, pii, quality_rules
 
-QUERIES = {"op1_mix": mixing.query, "op4_pii": pii.query, "op6_licenses": licenses.query, "op7_quality_rules": quality_rules.query}
+QUERIES = {"op1_mix": mixing.query, "op4_pii": pii.query, "op5_pack": packing.query, "op6_licenses": licenses.query, "op7_quality_rules": quality_rules.query}
 SQL = {"op1_mix": mixing.ORACLE}
