@@ -37,6 +37,8 @@ def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
     got, want = _ordered(got), _ordered(want)
     for c in got.columns:
         a, b = got[c], want[c]
+        if a.isna().any() or b.isna().any():  # integers with nulls come in several types
+            a, b = (x.astype("float64") if x.dtype.kind in "iuf" else x for x in (a, b))
         if a.dtype.kind in "iuf" and b.dtype.kind in "iuf":
             if a.dtype.kind != b.dtype.kind or a.dtype.itemsize != b.dtype.itemsize:
                 return f"{c}: types {a.dtype} and {b.dtype}"
