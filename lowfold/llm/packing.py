@@ -231,7 +231,7 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known = self.known
-        new = list({w for words in split for w in words} - known.keys())
+        new = [w for w in {w for words in split for w in words} if w not in known]
         for k in range(0, len(new), 4096):
             part = new[k : k + 4096]
             for word, code in zip(part, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
