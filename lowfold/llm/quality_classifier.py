@@ -30,7 +30,7 @@ SAMPLE = 8192
 #: Slots for hashed features; passes over the sample; rows of one step; learning rate; ridge.
 SLOTS, EPOCHS, STEP_ROWS, RATE, RIDGE = 1 << 15, 12, 64, 2.0, 1e-6
 #: A document is kept from this score on.
-KEEP = 0.5
+KEEP = 0.4
 #: Share of good documents believed beforehand.
 GOOD_SHARE = 0.8
 GOOD, BAD, SILENT = "g", "b", "-"
