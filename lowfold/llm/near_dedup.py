@@ -208,3 +208,17 @@ def _can_link():
 def query(spark, sf: str) -> DataFrame:
     out = near_duplicates(spark.read.parquet(f"{sf}/embeddings.parquet"))
     return out.select("vec_id", "n_links", F.col("component_id").cast("long").alias("component_id"), "kept")
+
+
+#: Every pair of a label; the same rows where hashing finds every link.
+ORACLE = """
+WITH RECURSIVE v AS (SELECT vec_id, label, [CAST(c AS DOUBLE) for c in embedding] AS x FROM embeddings
+    WHERE label IS NOT NULL AND len([c for c in embedding if c IS NULL OR NOT isfinite(c)]) = 0 AND len([c for c in embedding if c <> 0]) > 0),
+  e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+  n AS (SELECT a, count(*) AS n FROM e GROUP BY a),
+  r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+  c AS (SELECT a, min(b) AS c FROM r GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, CAST(c AS BIGINT) AS component_id, vec_id = c AS kept
+FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""

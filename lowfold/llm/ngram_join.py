@@ -282,3 +282,17 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 def query(spark, sf: str) -> DataFrame:
     out = near_copies(spark.read.parquet(f"{sf}/documents.parquet"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+  l AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+          ELSE list_distinct([ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3] for i in range(1, len(ws) - 2)]) END AS g FROM w),
+  s AS (SELECT doc_id, unnest(g) AS g FROM l),
+  z AS (SELECT doc_id, len(g) AS n FROM l),
+  p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+  e AS (SELECT x, y FROM p JOIN z a ON a.doc_id = x JOIN z b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+  u AS (SELECT x AS a, y AS b FROM e UNION ALL SELECT y, x FROM e),
+  r AS (SELECT doc_id AS a, doc_id AS b FROM z UNION SELECT r.a, u.b FROM r JOIN u ON u.a = r.b)
+SELECT z.doc_id, CAST(any_value(n) AS BIGINT) AS n_shingles, min(b) AS component_id FROM z JOIN r ON r.a = z.doc_id GROUP BY z.doc_id
+"""

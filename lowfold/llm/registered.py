@@ -19,4 +19,4 @@ QUERIES = {
     "op10_near_dedup": near_dedup.query,
     "pipeline": corpus_pipeline.run,
 }
-SQL = {"op1_mix": mixing.ORACLE, "op9_warc": warc.ORACLE}
+SQL = {"op1_mix": mixing.ORACLE, "op2_ngram_join": ngram_join.ORACLE, "op9_warc": warc.ORACLE, "op10_near_dedup": near_dedup.ORACLE}

@@ -1,0 +1,65 @@
+import hashlib
+import struct
+from collections import Counter
+
+import zstandard
+
+from lowfold.llm import warc
+
+SCHEMA = "page_id BIGINT, url STRING, html STRING, digest STRING, copied STRING"
+
+
+def pages(spark):
+    body = "<html><body><p>A page that comes more than once, with enough in it to be archived once only, at least a hundred bytes.</p></body></html>"
+    rows = [(k, f"http://h{k % 7}/p?q={k}", f"<html><head><title>{k}</title></head><body><p>{'text ' * (k % 40)}{k}</p></body></html>") for k in range(10, 200)]
+    rows += [(3, "http://a/", body), (1, None, body), (2, "http://b/ c\nd", body), (2, "http://b/", body), (7, "u", None), (8, "u", ""), (9, "u", "short"), (5, "u", "short")]
+    rows += [(None, "n", body + " "), (4, "x", body + " "), (6, "é", "é🙂" * 40_000)]
+    return spark.createDataFrame([(*r, "clash", "clash") for r in rows], SCHEMA)
+
+
+def test_round_trip(spark, tmp_path):
+    table = pages(spark)
+    warc.archive(table, str(tmp_path / "w"), archives=3)
+    rows = warc.read(spark, str(tmp_path / "w")).collect()
+    want = Counter()
+    for r in table.collect():
+        body = (r.html or "").encode()
+        want[None if r.page_id is None else str(r.page_id), len(body), hashlib.sha256(body).hexdigest()] += 1
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest) for r in rows) == want
+    for r in rows:
+        assert (r.refers_to is not None or r.page_id == "4") == (r.record_type == "revisit") and (r.payload == b"") >= (r.record_type == "revisit")
+        if r.record_type == "response":
+            assert hashlib.sha256(r.payload).hexdigest() == r.payload_digest
+    by = {}
+    for r in rows:
+        by.setdefault(r.page_id, []).append((r.record_type, r.refers_to))
+    assert by["1"] == [("response", None)] and by["3"] == [("revisit", "1")] and by["2"] == [("revisit", "1")] * 2
+    assert by["5"] == by["9"] == by["7"] == by["8"] == [("response", None)]
+    assert by[None] == [("response", None)] and by["4"] == [("revisit", None)]
+
+
+def test_each_file_is_an_archive_that_any_reader_opens(spark, tmp_path):
+    warc.archive(pages(spark), str(tmp_path / "w"), archives=2)
+    files = sorted((tmp_path / "w").glob("part-*"))
+    assert files
+    for file in files:
+        data = file.read_bytes()
+        number, length = struct.unpack_from("<II", data)
+        assert number == 0x184D2A5D
+        dictionary = zstandard.ZstdCompressionDict(data[8 : 8 + length]) if length else None
+        whole = zstandard.ZstdDecompressor(dict_data=dictionary).stream_reader(data[8 + length :], read_across_frames=True).read()
+        assert whole.count(b"WARC/1.1\r\n") == len(list(warc.frames(data)))
+
+
+def test_the_dictionary_helps(spark, tmp_path):
+    table = pages(spark)
+    warc.archive(table, str(tmp_path / "w"), archives=1)
+    stored = sum(len(f) for f in (tmp_path / "w").glob("part-*") for f in [f.read_bytes()])
+    length = struct.unpack_from("<II", next((tmp_path / "w").glob("part-*")).read_bytes())[1]
+    alone = sum(len(zstandard.ZstdCompressor(level=warc.LEVEL).compress((r.html or "").encode())) for r in table.collect())
+    assert length > 0 and stored - length < alone + 300 * table.count()
+
+
+def test_no_pages(spark, tmp_path):
+    warc.archive(spark.createDataFrame([], SCHEMA), str(tmp_path / "w"))
+    assert warc.read(spark, str(tmp_path / "w")).count() == 0
