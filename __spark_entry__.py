@@ -1,8 +1,10 @@
 """Registered queries, each over whole tables, and their SQL twins.
 
-``embeddings`` is the point table, its first two positions stand in for a
-finished embedding and ``label`` for clusters; ``events`` is read as a request
-log. Numbers are rounded to six digits on both sides.
+``embeddings`` is the point table, two sums over all its positions stand in for
+a finished embedding and ``label`` for clusters; ``events`` is read as a request
+log. Queries ending in ``_blocks`` run with small blocks, so that rows meet
+across groups, and have the twin of the plain query. Numbers are rounded to six
+digits on both sides.
 """
 
 from __future__ import annotations
@@ -14,9 +16,11 @@ from pyspark.sql import functions as F
 
 from lowfold.functions import draws, forces
 from lowfold.operators import clustering, curve, density, descent, fuzzy, knn, layout, prepare, quality, requests, spectral
-from lowfold.plans.umap import Umap
+from lowfold.operators.cells import BLOCK_ROWS
+from lowfold.plans.umap import Umap, UmapModel
 from lowfold.session import StepStore
 from lowfold.sources import tables
+from lowfold.sources.runs import RunLog, read_runs
 
 try:
     from lowfold.llm import registered as llm
@@ -27,6 +31,7 @@ except ModuleNotFoundError as missing:
 
 K = 15
 A, B, LR, SEED, MIN_DIST = 1.577, 0.895, 0.1, 42, 0.1
+SMALL = 64  # rows of a block where blocks are to meet
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -39,8 +44,18 @@ def _points(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _flat_positions(spark: SparkSession, sf: str) -> DataFrame:
-    """The first two positions of each vector as a 2-D embedding ``(id, y)``."""
-    return _points(spark, sf).select("id", F.slice("features", 1, 2).alias("y"))
+    """Two weighted sums over all positions of each vector as a 2-D embedding ``(id, y)``."""
+
+    def weighted(every: int, middle: int) -> Column:
+        parts = F.transform("features", lambda v, i: v * (((i + 1) % every) - middle) / 8.0)
+        return F.aggregate(parts, F.lit(0.0), lambda a, v: a + v)
+
+    return _points(spark, sf).select("id", F.array(weighted(7, 3), weighted(5, 2)).alias("y"))
+
+
+def _whole(spark: SparkSession, sf: str) -> DataFrame:
+    """The vectors themselves as an embedding ``(id, y)``."""
+    return _points(spark, sf).withColumnRenamed("features", "y")
 
 
 def _labels(spark: SparkSession, sf: str) -> DataFrame:
@@ -188,12 +203,12 @@ def _negative_sample(spark, sf):
     return layout.negative_draws(points, points.count(), 3, SEED)
 
 
-def _layout_epochs(epochs: int):
+def _layout_epochs(epochs: int, block_rows: int = BLOCK_ROWS):
     def query(spark, sf):
         steps = StepStore(spark, "query")
         spots = steps.save(_flat_positions(spark, sf), "spots")
         edges = steps.save(_edges(spark, sf), "edges")
-        moved, _ = layout.optimize_layout(edges, spots, spots.count(), A, B, steps, epochs, LR, SEED)
+        moved, _ = layout.optimize_layout(edges, spots, spots.count(), A, B, steps, epochs, LR, SEED, block_rows=block_rows)
         return _six_y(moved)
 
     return query
@@ -211,9 +226,9 @@ def _layout_history(spark, sf):
     spots = steps.save(_flat_positions(spark, sf), "spots")
     edges = steps.save(_edges(spark, sf), "edges")
     _, frames = layout.optimize_layout(
-        edges, spots, spots.count(), A, B, steps, 20, LR, SEED, snapshot_every=5
+        edges, spots, spots.count(), A, B, steps, 4, LR, SEED, snapshot_every=2
     )
-    return frames.select("epoch", "id", F.col("y")[0].alias("dim_0"), F.col("y")[1].alias("dim_1"))
+    return _six(frames.select("epoch", "id", F.col("y")[0].alias("dim_0"), F.col("y")[1].alias("dim_1")), "dim_0", "dim_1")
 
 
 def _spectral(spark, sf):
@@ -238,17 +253,17 @@ def _umap_transform(spark, sf):
     return layout.flat_embedding(model.transform(_points(spark, sf), "id", "features"), 2)
 
 
-def _trustworthiness(spark, sf):
-    return _six(quality.trustworthiness(_points(spark, sf), _flat_positions(spark, sf), K), "trustworthiness")
+def _trustworthiness(spark, sf, block_rows: int = BLOCK_ROWS):
+    score = quality.trustworthiness(_points(spark, sf), _flat_positions(spark, sf), K, block_rows=block_rows)
+    return _six(score, "trustworthiness")
 
 
-def _silhouette(spark, sf):
-    return _six(quality.silhouette(_flat_positions(spark, sf), _labels(spark, sf)), "silhouette")
+def _silhouette(spark, sf, block_rows: int = BLOCK_ROWS):
+    return _six(quality.silhouette(_whole(spark, sf), _labels(spark, sf), block_rows=block_rows), "silhouette")
 
 
 def _enough(spark, sf):
-    found = _labels(spark, sf).agg((F.count_distinct("cluster") >= 2).alias("enough"))
-    return found
+    return spark.createDataFrame([(quality.enough_clusters(_labels(spark, sf)),)], "enough BOOLEAN")
 
 
 def _core(spark, sf):
@@ -273,8 +288,54 @@ def _flat_with_clusters(spark, sf):
 
 
 def _models(spark, sf):
-    """Signup events as stored models."""
-    return requests.store_use(_table(spark, sf, "events").filter("event_type = 'signup'"), 1000)
+    """Events as stored models."""
+    return requests.store_use(_table(spark, sf, "events"), 1000)
+
+
+def _written_parts(spark, sf) -> str:
+    """``part`` as CSV files with a header."""
+    path = f"{StepStore(spark, 'parts').root}/part.csv"
+    tables.write_table(_table(spark, sf, "part").select("p_partkey", "p_name", "p_size", "p_retailprice"), path)
+    return path
+
+
+PART_SCHEMA = "p_partkey BIGINT, p_name STRING, p_size INT, p_retailprice DOUBLE"
+
+
+def _csv_with_target(spark, sf):
+    df, target = tables.read_with_target(spark, _written_parts(spark, sf), "p_size", PART_SCHEMA)
+    return df.select("p_partkey", "p_name", F.col(target).alias("target"), "p_retailprice")
+
+
+def _features_in_order(spark, sf):
+    return prepare.match_features(_table(spark, sf, "part"), ["p_retailprice", "p_size"], "p_partkey")
+
+
+def _feature_guard(spark, sf):
+    lines = _table(spark, sf, "lineitem")
+    return lines.select(*prepare.check_input(lines, min_features=3))
+
+
+def _fit_run(spark, sf) -> tuple[str, str]:
+    """A short fit of the vectors, saved and recorded."""
+    root = StepStore(spark, "saved").root
+    log = RunLog(spark, f"{root}/runs")
+    model = Umap(n_neighbors=K).fit(_points(spark, sf), "id", "features", n_epochs=1, log=log)
+    model.save(f"{root}/model")
+    return f"{root}/model", f"{root}/runs"
+
+
+def _saved_model(spark, sf):
+    """The training vectors of a saved model, read back."""
+    path, _ = _fit_run(spark, sf)
+    train = UmapModel.load(spark, path).train.select(F.col("key").alias("id"), "features")
+    return _six(train.select("id", F.col("features")[0].alias("x0"), F.col("features")[63].alias("x63")), "x0", "x63")
+
+
+def _run_metrics(spark, sf):
+    _, path = _fit_run(spark, sf)
+    kept = ("clamped_rows", "training_success")
+    return read_runs(spark, path, "run_metrics").filter(F.col("key").isin(*kept)).select("key", "value")
 
 
 def _timed(spark, sf):
@@ -352,8 +413,21 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "core_distance": _core,
         "mutual_reachability": _mutual,
         "spanning_tree": _mst,
-        "kmeans": lambda s, d: clustering.cluster(_flat_positions(s, d), "KMeans", 10),
-        "hdbscan": lambda s, d: clustering.cluster(_flat_positions(s, d), "HDBSCAN", 5),
+        "kmeans": lambda s, d: clustering.cluster(_whole(s, d), "KMeans", 10),
+        "hdbscan": lambda s, d: clustering.cluster(_whole(s, d), "HDBSCAN", 5),
+        "knn_exact_blocks": lambda s, d: _six(knn.knn_self(_points(s, d), K, block_rows=SMALL).withColumn("rank", F.col("rank").cast("int")).select("id", "nbr", "dist", "rank"), "dist"),
+        "layout_epochs_blocks": _layout_epochs(2, SMALL),
+        "trustworthiness_blocks": lambda s, d: _trustworthiness(s, d, SMALL),
+        "silhouette_blocks": lambda s, d: _silhouette(s, d, SMALL),
+        "csv_source": lambda s, d: tables.read_csv(s, _written_parts(s, d), PART_SCHEMA),
+        "csv_features": lambda s, d: tables.read_features(s, _written_parts(s, d), PART_SCHEMA),
+        "csv_with_target": _csv_with_target,
+        "feature_guard": _feature_guard,
+        "features_in_order": _features_in_order,
+        "saved_model": _saved_model,
+        "run_metrics": _run_metrics,
+        "clamped_rows": lambda s, d: fuzzy.clamped_rows(fuzzy.local_scales(_knn(s, d), K)),
+        "latency_quantiles": lambda s, d: _six(requests.latency_quantiles(_log(s, d), None), "p50", "p95", "p99"),
         "embedding_flat": lambda s, d: _six_y(_flat_positions(s, d)),
         "result_with_clusters": _flat_with_clusters,
         "result_summary": lambda s, d: tables.result_summary(_flat_positions(s, d), 64),
@@ -371,7 +445,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # --- the SQL twins --------------------------------------------------------
 
 POINTS = "p AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)"
-SPOTS = "y AS (SELECT id, x[1] AS y0, x[2] AS y1 FROM p)"
+SUM = "list_sum([x[i] * ((i % {}) - {}) / 8.0 for i in range(1, len(x) + 1)])"
+SPOTS = f"y AS (SELECT id, {SUM.format(7, 3)} AS y0, {SUM.format(5, 2)} AS y1 FROM p)"
 GAP = "sqrt(list_sum(list_transform(list_zip(a.x, b.x), lambda t: (t[1] - t[2]) * (t[1] - t[2]))))"
 MANHATTAN = "list_sum(list_transform(list_zip(a.x, b.x), lambda t: abs(t[1] - t[2])))"
 CHEBYSHEV = "list_max(list_transform(list_zip(a.x, b.x), lambda t: abs(t[1] - t[2])))"
@@ -478,7 +553,7 @@ def _own_sql() -> dict[str, str]:
     two = f"{spots}, {_epoch_sql('y', 'y_a', 0, 2)}, {_epoch_sql('y_a', 'y_b', 1, 2)}"
     place = "SELECT id, round(y0, 6) + 0.0 AS dim_0, round(y1, 6) + 0.0 AS dim_1 FROM {}"
     core = f"{_knn_sql(k=15)}, c AS (SELECT id, max(dist) AS core FROM k WHERE rank <= 4 GROUP BY id)"
-    return {
+    found = {
         "numeric_select": "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem",
         "target_excluded": "SELECT p_name, p_partkey, p_retailprice FROM part",
         "standardize": f"SELECT {means}, {scales} FROM lineitem",
@@ -488,7 +563,7 @@ def _own_sql() -> dict[str, str]:
         "bounded_sample": "SELECT * FROM part ORDER BY md5('42|sample|' || CAST(p_partkey AS VARCHAR)), p_partkey LIMIT 499",
         "preview": "SELECT * FROM part ORDER BY p_partkey LIMIT 5",
         "experiment_label": "SELECT event_id, '/' || CASE WHEN event_type = 'view' THEN 'dev' ELSE event_type END || '/umap' AS label FROM events",
-        "attach_target": f"WITH {POINTS} SELECT p.id, round(x[1], 6) + 0.0 AS dim_0, CAST(label AS VARCHAR) AS label FROM p JOIN embeddings ON vec_id = p.id",
+        "attach_target": f"WITH {POINTS}, {SPOTS} SELECT y.id, round(y0, 6) + 0.0 AS dim_0, CAST(label AS VARCHAR) AS label FROM y JOIN embeddings ON vec_id = y.id",
         "knn_exact": _with(near, list_all),
         "knn_manhattan": _with(_knn_sql(MANHATTAN), list_all),
         "knn_chebyshev": _with(_knn_sql(CHEBYSHEV), list_all),
@@ -552,10 +627,10 @@ def _own_sql() -> dict[str, str]:
                 FROM l JOIN q USING (id, nbr) CROSS JOIN n""",
         ),
         "silhouette": _with(
-            f"""{POINTS}, {SPOTS},
-                c AS (SELECT y.id, y0, y1, label FROM y JOIN embeddings ON vec_id = y.id),
+            f"""{POINTS},
+                c AS (SELECT p.id, x, label FROM p JOIN embeddings ON vec_id = p.id),
                 z AS (SELECT label AS o, count(*) AS size FROM c GROUP BY label),
-                t AS (SELECT a.id, a.label, b.label AS o, sum(sqrt((a.y0 - b.y0) * (a.y0 - b.y0) + (a.y1 - b.y1) * (a.y1 - b.y1))) AS total
+                t AS (SELECT a.id, a.label, b.label AS o, sum({GAP}) AS total
                       FROM c a CROSS JOIN c b GROUP BY a.id, a.label, b.label),
                 v AS (SELECT id, max(CASE WHEN label = o THEN size END) AS size,
                         max(CASE WHEN label = o AND size > 1 THEN total / (size - 1) END) AS a,
@@ -567,19 +642,41 @@ def _own_sql() -> dict[str, str]:
         "mutual_reachability": _with(
             core, f"SELECT k.id AS i, k.nbr AS j, {_r('greatest(k.dist, a.core, b.core)', 'w')} FROM k JOIN c a ON a.id = k.id JOIN c b ON b.id = k.nbr"
         ),
-        "embedding_flat": f"WITH {POINTS} SELECT id, round(x[1], 6) + 0.0 AS dim_0, round(x[2], 6) + 0.0 AS dim_1 FROM p",
-        "result_with_clusters": f"WITH {POINTS} SELECT p.id, round(x[1], 6) + 0.0 AS dim_0, round(x[2], 6) + 0.0 AS dim_1, CAST(label AS INTEGER) AS cluster FROM p JOIN embeddings ON vec_id = p.id",
+        "embedding_flat": f"WITH {POINTS}, {SPOTS} {place.format('y')}",
+        "result_with_clusters": f"WITH {POINTS}, {SPOTS} SELECT y.id, round(y0, 6) + 0.0 AS dim_0, round(y1, 6) + 0.0 AS dim_1, CAST(label AS INTEGER) AS cluster FROM y JOIN embeddings ON vec_id = y.id",
         "result_summary": "SELECT count(*) AS n_samples, CAST(64 AS INTEGER) AS n_features, CAST(2 AS INTEGER) AS n_components FROM embeddings",
         "request_metrics": f"WITH {LOG} SELECT endpoint, method, status, latency_ms, CAST(status < 400 AS INTEGER) AS success FROM log",
         "request_failures": f"WITH {LOG} SELECT endpoint, method, 1 AS error FROM log WHERE status >= 400",
         "input_size": f"WITH {LOG} SELECT endpoint, {_r('bytes / 1024.0', 'file_size_kb')}, n_samples, n_features FROM log",
         "error_rate": f"WITH {LOG} SELECT endpoint, error_type, critical, count(*) AS error_count FROM log WHERE error_type IS NOT NULL GROUP BY ALL",
-        "store_use": "SELECT count(*) AS cached_models, count(*) / 1000.0 * 100 AS cache_utilization_pct FROM events WHERE event_type = 'signup'",
+        "store_use": "SELECT count(*) AS cached_models, count(*) / 1000.0 * 100 AS cache_utilization_pct FROM events",
         "timed_blocks": f"""WITH {LOG} SELECT endpoint, method, {_r('round(latency_ms * 1000) / 1000.0', 'latency_ms')},
             CAST(error_type IS NULL AS INTEGER) AS success, CAST(error_type IS NOT NULL AS INTEGER) AS error FROM log""",
         "rollup_endpoint": f"WITH {LOG} SELECT endpoint, method, {RATES} FROM log GROUP BY ROLLUP (endpoint, method)",
         "rollup_windows": f"WITH {LOG} SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS window_start, endpoint, {RATES} FROM log GROUP BY 1, endpoint",
     }
+    parts = "SELECT p_partkey, p_name, p_size, p_retailprice FROM part"
+    near_scales = _scales_sql(near)
+    clamped = "count(*) FILTER (WHERE sigma <= 1e-5 * (1 + 1e-6) OR sigma >= 1e5 * (1 - 1e-6))"
+    four = ", ".join(_epoch_sql("y" if k == 0 else f"y_{k}", f"y_{k + 1}", k, 4) for k in range(4))
+    frame = "SELECT CAST({} AS INTEGER) AS epoch, id, round(y0, 6) + 0.0 AS dim_0, round(y1, 6) + 0.0 AS dim_1 FROM {}"
+    return found | {
+        "layout_history": _with(f"{spots}, {four}", f"{frame.format(1, 'y_2')} UNION ALL {frame.format(3, 'y_4')}"),
+        "knn_exact_blocks": found["knn_exact"],
+        "layout_epochs_blocks": found["layout_two_epochs"],
+        "trustworthiness_blocks": found["trustworthiness"],
+        "silhouette_blocks": found["silhouette"],
+        "csv_source": parts,
+        "csv_features": "SELECT p_partkey, p_size, p_retailprice FROM part",
+        "csv_with_target": "SELECT p_partkey, p_name, p_size AS target, p_retailprice FROM part",
+        "feature_guard": found["numeric_select"],
+        "features_in_order": "SELECT p_partkey, p_retailprice, p_size FROM part",
+        "saved_model": f"WITH {POINTS} SELECT id, round(x[1], 6) + 0.0 AS x0, round(x[64], 6) + 0.0 AS x63 FROM p",
+        "run_metrics": _with(near_scales, f"SELECT 'clamped_rows' AS key, CAST({clamped} AS DOUBLE) AS value FROM s UNION ALL SELECT 'training_success', 1.0"),
+        "clamped_rows": _with(near_scales, f"SELECT {clamped} AS clamped_rows FROM s"),
+        "latency_quantiles": f"""WITH {LOG} SELECT endpoint, {", ".join(_r(f"quantile_cont(latency_ms, {q})", n) for q, n in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99")))}
+            FROM log GROUP BY endpoint""",
+    }
 
 
 def _descent_sql() -> str:

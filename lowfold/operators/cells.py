@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lowfold.functions import tiles
 from lowfold.functions.distances import metric_name
-from lowfold.functions.draws import draw
+from lowfold.functions.draws import PRIME_B, draw
 from lowfold.session import StepStore
 
 BLOCK_ROWS = 8192
@@ -128,9 +128,10 @@ def build_cells(
         cells = Cells(np.zeros((1, width)), np.array([np.inf]), np.array([total]), metric, p, block_rows)
         return cells, points.withColumn("cell", F.lit(0)).withColumn("sub", F.lit(0))
     pivots = min(MAX_CELLS, MAX_CELL_BYTES // (8 * max(1, width)), 4 * math.ceil(total / block_rows))
-    chosen = (
-        points.orderBy(draw("pivot", 0, 0, F.col("id"), F.lit(0)), "id").limit(pivots).select("features").collect()
-    )
+    place = draw("pivot", 0, 0, F.col("id"), F.lit(0))
+    # Twice as many rows as pivots are expected below the bound; the rest need not be ordered.
+    below = int(min(1.0, (2.0 * pivots + 64) / total) * PRIME_B)
+    chosen = points.filter(place <= below).orderBy(place, "id").limit(pivots).select("features").collect()
     centres = np.unique(np.array([r.features for r in chosen], dtype=np.float64), axis=0)
     assigned = steps.save(nearest_cell(points, centres, metric, p), "cells")
     stats = assigned.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("radius")).collect()

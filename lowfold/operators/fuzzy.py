@@ -40,7 +40,7 @@ def _lists(knn: DataFrame, positive_rho: bool) -> DataFrame:
     )
 
 
-def _scaled(knn: DataFrame, n_neighbors: int, positive_rho: bool) -> DataFrame:
+def scaled(knn: DataFrame, n_neighbors: int, positive_rho: bool = False) -> DataFrame:
     """(id, rho, sigma, list). Rows are solved a batch at a time; only positive
     distances enter the sum, and a row without any gets the smallest sigma."""
     target = math.log2(n_neighbors)
@@ -71,7 +71,7 @@ def rho(knn: DataFrame) -> DataFrame:
 
 def local_scales(knn: DataFrame, n_neighbors: int, positive_rho: bool = False) -> DataFrame:
     """``scales(id, rho, sigma)``; projection takes rho over positive distances only."""
-    return _scaled(knn, n_neighbors, positive_rho).select("id", "rho", "sigma")
+    return scaled(knn, n_neighbors, positive_rho).select("id", "rho", "sigma")
 
 
 def clamped_rows(scales: DataFrame) -> DataFrame:
@@ -86,7 +86,12 @@ def membership_weight(dist: Column, rho: Column, sigma: Column) -> Column:
 
 def membership(knn: DataFrame, n_neighbors: int, positive_rho: bool = False) -> DataFrame:
     """Directed weights ``(i, j, w)``; scales and weights come from one grouping."""
-    rows = _scaled(knn, n_neighbors, positive_rho).select("id", "rho", "sigma", F.explode("list").alias("e"))
+    return weights(scaled(knn, n_neighbors, positive_rho))
+
+
+def weights(scaled: DataFrame) -> DataFrame:
+    """Directed weights from rows of ``scaled``."""
+    rows = scaled.select("id", "rho", "sigma", F.explode("list").alias("e"))
     w = membership_weight(F.col("e.dist"), F.col("rho"), F.col("sigma"))
     return rows.select(F.col("id").alias("i"), F.col("e.nbr").alias("j"), w.alias("w"))
 
@@ -99,9 +104,9 @@ def weigh(knn: DataFrame, scales: DataFrame) -> DataFrame:
 
 def fuzzy_union(directed: DataFrame) -> DataFrame:
     """Symmetric weights a + b - a*b; both directions of an edge are stored."""
-    out = directed.select("i", "j", F.col("w").alias("a"), F.lit(0.0).alias("b"))
-    back = directed.select(F.col("j").alias("i"), F.col("i").alias("j"), F.lit(0.0).alias("a"), F.col("w").alias("b"))
-    sums = out.unionByName(back).groupBy("i", "j").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    out = F.struct("i", "j", F.col("w").alias("a"), F.lit(0.0).alias("b"))
+    back = F.struct(F.col("j").alias("i"), F.col("i").alias("j"), F.lit(0.0).alias("a"), F.col("w").alias("b"))
+    sums = directed.select(F.inline(F.array(out, back))).groupBy("i", "j").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     return sums.select("i", "j", (F.col("a") + F.col("b") - F.col("a") * F.col("b")).alias("w"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lowfold.functions import tiles
 from lowfold.operators import cells as C
+from lowfold.operators.prepare import clean_points
 from lowfold.session import StepStore
 
 PAIR_SCHEMA = "id BIGINT, nbr BIGINT, dist DOUBLE"
@@ -174,13 +175,20 @@ def _search(
 
 
 def knn_self(
-    points: DataFrame, k: int, metric: str = "euclidean", p: float = 2.0, block_rows: int = C.BLOCK_ROWS
+    points: DataFrame,
+    k: int,
+    metric: str = "euclidean",
+    p: float = 2.0,
+    block_rows: int = C.BLOCK_ROWS,
+    checked: bool = False,
 ) -> DataFrame:
     """Exact k nearest other rows of each row of ``points(id, features)``.
 
     Ties go to the smaller id. Copies of a row are its neighbours at distance
-    zero; the row itself never is.
+    zero; the row itself never is. Missing and non-finite values are refused,
+    unless the caller has ``checked`` the rows.
     """
+    points = points if checked else clean_points(points)
     return _join(points, points, k, metric, p, True, block_rows)
 
 
@@ -191,8 +199,11 @@ def knn_query(
     metric: str = "euclidean",
     p: float = 2.0,
     block_rows: int = C.BLOCK_ROWS,
+    checked: bool = False,
 ) -> DataFrame:
     """Exact k nearest rows of ``train`` for each query; k is cut to the train size."""
+    if not checked:
+        queries, train = clean_points(queries), clean_points(train)
     return _join(queries, train, k, metric, p, False, block_rows)
 
 
@@ -204,12 +215,13 @@ def knn_graph(
     p: float = 2.0,
     seed: int = 42,
     block_rows: int = C.BLOCK_ROWS,
+    checked: bool = False,
 ) -> DataFrame:
     """Neighbour graph (id, nbr, dist, rank) by the exact or approximate method."""
     if method == "exact":
-        return knn_self(points, k, metric, p, block_rows)
+        return knn_self(points, k, metric, p, block_rows, checked)
     if method == "approx":
         from lowfold.operators.descent import knn_descent
 
-        return knn_descent(points, k, metric, p, seed=seed, block_rows=block_rows)
+        return knn_descent(points, k, metric, p, seed=seed, block_rows=block_rows, checked=checked)
     raise ValueError("method should be 'exact' or 'approx'")

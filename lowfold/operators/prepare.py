@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from lowfold.session import StepStore
 
 WIDE = 128
+LARGEST = 1e150
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -51,7 +52,13 @@ def match_features(df: DataFrame, features: Sequence[str], id_col: str) -> DataF
 def bounded_sample(df: DataFrame, id_col: str, n: int = 499, seed: int = 42) -> DataFrame:
     """Exactly min(n, rows) rows, the same ones on every run and partitioning."""
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("sample"), F.col(id_col).cast("string")))
-    return df.orderBy(key, id_col).limit(n)
+    # Far more than n rows are expected below the bound, so that no partition sends n rows of its own.
+    total = df.select(id_col).count()
+    share = min(1.0, (4.0 * n + 64) / max(1, total))
+    bound = f"{min((1 << 32) - 1, int(share * (1 << 32))):08x}"
+    near = df.filter(F.substring(key, 1, 8) <= bound)
+    few = share < 1.0 and near.select(id_col).limit(n).count() < n
+    return (df if few else near).orderBy(key, id_col).limit(n)
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
@@ -72,11 +79,12 @@ def experiment_label(base: str, source: Column | str | None = None, env: str = "
 
 
 def dense_index(df: DataFrame, id_col: str, steps: StepStore) -> DataFrame:
-    """Add ``idx``, the rank 0..N-1 of the row's key; keys must be unique.
+    """Add ``idx``, the rank 0..N-1 of the row's key; null and repeated keys are refused.
 
     Rows are range-partitioned by the key and written once; only the row count
     of each partition reaches the driver.
     """
+    unique_keys(df, id_col)
     bounds = df.agg(F.min(id_col), F.max(id_col), F.count(id_col)).first()
     if isinstance(df.schema[id_col].dataType, T.IntegralType) and bounds[0] == 0 and bounds[1] == bounds[2] - 1:
         return df.withColumn("idx", F.col(id_col).cast("bigint"))
@@ -84,6 +92,14 @@ def dense_index(df: DataFrame, id_col: str, steps: StepStore) -> DataFrame:
     return row_numbers(ordered, steps, "idx")
 
 
+def unique_keys(df: DataFrame, id_col: str) -> None:
+    """Raise where a key is null or comes twice; only the keys are shuffled."""
+    wrong = df.groupBy(id_col).agg(F.count("*").alias("n")).filter((F.col("n") > 1) | F.col(id_col).isNull())
+    found = wrong.limit(1).collect()
+    if found:
+        raise ValueError(f"keys should be unique and not null; {id_col} = {found[0][0]!r} comes {found[0][1]} times")
+
+
 def row_numbers(df: DataFrame, steps: StepStore, name: str = "id") -> DataFrame:
     """Number rows 0..N-1 by partition and place in it, for tables without a key.
 
@@ -112,8 +128,9 @@ def assemble(df: DataFrame, id_col: str, features: Sequence[str] | str) -> DataF
 
 
 def clean_points(points: DataFrame, na_policy: str = "raise") -> DataFrame:
-    """Refuse, or on ``na_policy='drop'`` leave out, rows with null, NaN or infinite values."""
-    bad = F.exists("features", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    """Refuse, or on ``na_policy='drop'`` leave out, rows with null, NaN or infinite values,
+    or with values so large that their squares are."""
+    bad = F.exists("features", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) > LARGEST))
     bad = F.col("id").isNull() | F.col("features").isNull() | bad
     if na_policy == "drop":
         return points.filter(~bad)

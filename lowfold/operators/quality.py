@@ -14,6 +14,7 @@ from lowfold.functions.draws import draw
 from lowfold.operators import cells as C
 from lowfold.operators.descent import pair_distances
 from lowfold.operators.knn import knn_self
+from lowfold.operators.prepare import clean_points, dense_index, row_numbers, unique_keys
 from lowfold.session import StepStore
 
 
@@ -82,11 +83,16 @@ def trustworthiness(
     """One row ``trustworthiness``: 1 less the scaled excess input ranks of the
     k nearest rows in ``embedding(id, y)``."""
     steps = StepStore(points.sparkSession, "trust")
+    points = clean_points(points.select("id", "features"))
+    embedding = clean_points(embedding.select("id", F.col("y").alias("features"))).withColumnRenamed("features", "y")
+    keys = steps.save(dense_index(points.select("id"), "id", steps), "keys")
+    points = points.join(keys, "id").select(F.col("idx").alias("id"), "features")
+    embedding = embedding.join(keys, "id").select(F.col("idx").alias("id"), "y")
     n = points.count()
     if k >= n / 2:
         raise ValueError(f"k must be below half the rows, {n / 2}")
     low = embedding.select("id", F.col("y").alias("features"))
-    pairs = steps.save(knn_self(low, k, block_rows=block_rows), "low").select("id", "nbr")
+    pairs = steps.save(knn_self(low, k, block_rows=block_rows, checked=True), "low").select("id", "nbr")
     ranks = input_ranks(points, pairs, steps, metric, p, block_rows)
     excess = F.sum(F.greatest(F.lit(0), F.col("rank") - F.lit(k)))
     scale = 2.0 / (n * k * (2 * n - 3 * k - 1))
@@ -102,8 +108,8 @@ def silhouette_rows(
     sum per position and cluster, never a pair of positions.
     """
     rows = embedding.join(clusters.select("id", "cluster"), "id")
-    spots = rows.groupBy("cluster", "y").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-    spots = steps.save(spots, "spots")
+    spots = rows.groupBy("cluster", "y").agg(F.count("*").alias("copies"))
+    spots = steps.save(row_numbers(spots, steps), "spots")
     blocks = max(1, math.ceil(spots.count() / block_rows))
     block = (draw("pivot", 5, 0, F.col("id"), F.col("cluster")) % F.lit(blocks)).cast("int")
     sizes = spots.groupBy("cluster").agg(F.sum("copies").alias("size"))
@@ -175,6 +181,8 @@ def silhouette(
         clusters = clusters.filter("cluster >= 0")
     if not enough_clusters(clusters):
         return spark.createDataFrame([(None,)], "silhouette DOUBLE")
+    clean_points(embedding.select("id", F.col("y").alias("features")))
+    unique_keys(clusters, "id")
     rows = silhouette_rows(embedding.select("id", "y"), clusters, steps, block_rows)
     return rows.agg((F.sum(F.col("s") * F.col("copies")) / F.sum("copies")).alias("silhouette"))
 

@@ -72,9 +72,15 @@ def endpoint_rollup(log: DataFrame) -> DataFrame:
     return log.rollup("endpoint", "method").agg(*_rates())
 
 
-def latency_quantiles(log: DataFrame, accuracy: int = 10_000) -> DataFrame:
-    """Median, 95th and 99th percentile of latency by endpoint, from mergeable sketches."""
-    q = F.percentile_approx("latency_ms", [0.5, 0.95, 0.99], accuracy)
+def latency_quantiles(log: DataFrame, accuracy: int | None = 10_000) -> DataFrame:
+    """Median, 95th and 99th percentile of latency by endpoint, from mergeable sketches.
+
+    Without ``accuracy`` they are exact and interpolated; a task then holds the
+    distinct latencies of an endpoint.
+    """
+    points = [0.5, 0.95, 0.99]
+    exact = F.percentile("latency_ms", points)
+    q = exact if accuracy is None else F.percentile_approx("latency_ms", points, accuracy)
     found = log.groupBy("endpoint").agg(q.alias("q"))
     return found.select("endpoint", *[F.col("q")[n].alias(name) for n, name in enumerate(("p50", "p95", "p99"))])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,14 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 def step_root(spark: SparkSession) -> str:
     """Shared folder for step tables: the session's ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; it then gets a fresh
-    temporary folder. On a cluster a machine-local folder would be lost with
-    its executor, so the setting is required there.
+    Only a session of one process may go without that setting; it then gets a
+    fresh temporary folder. On a cluster, a local one included, executors do
+    not share such a folder, so the setting is required there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="lowfold-steps-")
     spark.conf.set("spark.checkpoint.dir", folder)

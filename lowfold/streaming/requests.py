@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lowfold.operators.requests import windowed_rollup
-from lowfold.session import step_root
 
 LOG_SCHEMA = (
     "ts TIMESTAMP, endpoint STRING, method STRING, status INT, latency_ms DOUBLE, bytes BIGINT, "
@@ -27,10 +24,12 @@ def stream_rollup(
     """Append finished windows of a growing Parquet log to a Parquet table.
 
     State is one row per open window and endpoint; the watermark closes them.
+    The checkpoint stands beside the output: one without the other would skip
+    or repeat windows after a restart.
     """
     log = spark.readStream.schema(LOG_SCHEMA).parquet(log_path)
     rates = windowed_rollup(log, window, watermark)
-    folder = checkpoint or f"{step_root(spark)}/rollup-{hashlib.md5(out_path.encode()).hexdigest()}"
+    folder = checkpoint or f"{out_path.rstrip('/')}-checkpoint"
     return (
         rates.writeStream.outputMode("append")
         .format("parquet")
