@@ -75,6 +75,8 @@ GRANTS = {
 }
 LEADS = "(?:licen[sc]ed|released|distributed|available|published|covered|provided|made available)(?: to you)?(?: under| by|:)(?: the)?(?: terms of(?: the)?)? "
 
+#: Edges of words as GAP has them, in either case.
+LEFT, RIGHT = (rf"(?{look}[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])" for look in ("<!", "!"))
 SPACE, VERSION = r"[\s*#/,-]{1,8}", r"(?i:[\s,;(-]{0,4}(?:version|ver\.?|v\.?)?[\s-]{0,2})"
 
 
@@ -96,7 +98,7 @@ def rules() -> list[dict]:
     for label, names, versions, tags in FAMILIES:
         for name in names:
             word = _keyword(name)
-            body = rf"\b{_spaced(name)}\b" if name.isupper() else rf"(?i:\b{_spaced(name)}\b)"
+            body = rf"{LEFT}{_spaced(name)}{RIGHT}" if name.isupper() else rf"{LEFT}(?i:{_spaced(name)}){RIGHT}"
             for v in versions:
                 number = v.replace(".", r"\.") + ("" if "." in v else r"(?:\.0)?")
                 later = rf"(?i:\+|{SPACE}or{SPACE}(?:\(at{SPACE}your{SPACE}option\){SPACE})?(?:any{SPACE})?(?:later|newer|greater))"
@@ -114,15 +116,15 @@ def rules() -> list[dict]:
         short, names = "CC" + "".join(rf"[\s-]{k}" for k in kind), r"[\s,-]{1,4}".join(CC_PARTS[k] for k in kind)
         for v in CC_VERSIONS:
             number = v.replace(".", r"\.")
-            add(f"{label}-{v}", rf"(?i)\b{short}[\s-]{{1,2}}v?{number}(?!\d)", "cc by", 3, 0.95)
-            add(f"{label}-{v}", rf"(?i)\bCreative{SPACE}Commons{SPACE}{names}[\s,-]{{1,4}}(?:v|version{SPACE})?{number}(?!\d)", "creative commons attribution", 4, 0.97)
+            add(f"{label}-{v}", rf"(?i){LEFT}{short}[\s-]{{1,2}}v?{number}(?!\d)", "cc by", 3, 0.95)
+            add(f"{label}-{v}", rf"(?i){LEFT}Creative{SPACE}Commons{SPACE}{names}[\s,-]{{1,4}}(?:v|version{SPACE})?{number}(?!\d)", "creative commons attribution", 4, 0.97)
             add(f"{label}-{v}", rf"(?i)creativecommons\.org/licenses/{'-'.join(kind)}/{number}(?!\d)", "creativecommons org licenses", 5, 1.0)
             add(f"{label}-{v}", rf"(?i)SPDX-License-Identifier:\s{{0,4}}\(?CC-{'-'.join(kind)}-{number}(?![\w.-])", "spdx license identifier", 5, 1.0)
-        add(label, rf"(?i)\b{short}(?![\w-])", "cc by", 2, 0.8)
-        add(label, rf"(?i)\bCreative{SPACE}Commons{SPACE}{names}\b", "creative commons attribution", 2, 0.85)
+        add(label, rf"(?i){LEFT}{short}(?![\w-])", "cc by", 2, 0.8)
+        add(label, rf"(?i){LEFT}Creative{SPACE}Commons{SPACE}{names}{RIGHT}", "creative commons attribution", 2, 0.85)
     for label, grants in GRANTS.items():
         for grant in grants:
-            body = rf"\b{_spaced(grant)}\b" if grant.isupper() else rf"(?i)\b{_spaced(grant)}\b"
+            body = rf"{LEFT}{_spaced(grant)}{RIGHT}" if grant.isupper() else rf"(?i){LEFT}{_spaced(grant)}{RIGHT}"
             add(label, body, _keyword(grant), 1 if label in ("proprietary", "public-domain") else 2, 0.85)
     return out
 

@@ -192,7 +192,7 @@ def fit(stats: DataFrame, label: str = "quality") -> tuple[DataFrame, DataFrame]
     sound = store.save(sound, "sound")
     groups = store.save(_group(sound), "groups")
     n_groups = groups.count()
-    rows = store.save(_with_group(sound, groups, n_groups).select("grp", *X), "grouped")
+    rows = store.save(_with_group(sound, groups, n_groups, "grp").select("grp", *X), "grouped")
     melted = rows.select("grp", F.posexplode(F.array(*X)).alias("dim", "x")).withColumn("bin", F.round(F.col("x") * 128).cast("long"))
     found = melted.groupBy("grp", "dim", "bin").agg(F.count(F.lit(1)).alias("n")).groupBy("grp").applyInPandas(_start, FIT)
     found = store.save(found, "start")
@@ -204,10 +204,10 @@ def fit(stats: DataFrame, label: str = "quality") -> tuple[DataFrame, DataFrame]
     return groups, found
 
 
-def _with_group(rows: DataFrame, groups: DataFrame, n_groups: int) -> DataFrame:
+def _with_group(rows: DataFrame, groups: DataFrame, n_groups: int, name: str) -> DataFrame:
     lang, source = (F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")) for c in ("lang", "source"))
     key = F.concat_ws("\x1f", lang, source)
-    side = groups.select(key.alias("__key"), F.col("grp"))
+    side = groups.select(key.alias("__key"), F.col("grp").alias(name))
     return with_small(rows.withColumn("__key", key), side, ["__key"], "left", n_groups).drop("__key")
 
 
@@ -228,7 +228,7 @@ def judged(docs: DataFrame, label: str = "quality") -> DataFrame:
     )
     verdicts = steps(spark, label).save(verdicts, "verdicts")
     rows = docs.select(*[F.col(c) for c in docs.columns], statistics(F.col("text")).alias("__q"))
-    rows = _with_group(rows, verdicts, n_groups).withColumnRenamed("grp", "__fit")
+    rows = _with_group(rows, verdicts, n_groups, "__fit")
     vector = F.struct(*[x.alias(X[i]) for i, x in enumerate(transformed("__q."))])
     gap = [vector[x] - F.col("__fit.centre")[i] for i, x in enumerate(X)]
     total = F.lit(0.0)

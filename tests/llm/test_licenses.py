@@ -50,6 +50,7 @@ def test_against_loops(spark, odd_docs, no_docs):
     assert licenses.scan(no_docs).count() == 0
 
 
-def test_the_plan_is_native(odd_docs):
-    plan = licenses.scan(odd_docs)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Exchange" not in plan
+def test_the_plan_is_native(spark, odd_docs, tmp_path):
+    odd_docs.write.parquet(str(tmp_path / "docs"))
+    plan = licenses.scan(spark.read.parquet(str(tmp_path / "docs")))._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in ("EvalPython", "MapIn", "Exchange"))
