@@ -14,7 +14,6 @@ import html
 import math
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
