@@ -227,7 +227,9 @@ class _Join:
         # The rarest shared tokens first. Tokens of one document are in no pair, so overlaps are at most ``shared``.
         by_doc = W.partitionBy("cid")
         rows = rows.withColumn("place", F.row_number().over(by_doc.orderBy("docs", "token"))).withColumn("shared", F.count(F.lit(1)).over(by_doc))
-        rows = rows.filter(F.col("place") <= F.col("p") - (F.col("n") - F.col("shared"))).select("token", "cid", "n", "shared")
+        # Places count the tokens that are not shared, which come first.
+        rows = rows.withColumn("place", F.col("place") + F.col("n") - F.col("shared"))
+        rows = rows.filter(F.col("place") <= F.col("p")).select("token", "cid", "n", "shared", "place")
         rows = self.save(rows, "inner-prefix")
         middle = rows.groupBy("token").agg(F.max(F.struct((F.col("shared") / F.col("n")).alias("part"), (-F.col("cid")).alias("cid"), F.col("n").alias("n"), F.col("shared").alias("shared"))).alias("m"))
         middle = self.save(middle.select("token", (-F.col("m.cid")).alias("hub"), F.col("m.n").alias("hub_n"), F.col("m.shared").alias("hub_shared")), "middle")
@@ -246,10 +248,13 @@ class _Join:
         mixed = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max(F.struct((F.col("shared") / F.col("n")).alias("part"), (-F.col("cid")).alias("cid"), F.col("component").alias("of"))).alias("m"))
         mixed = self.save(mixed.filter("low <> high").select("token", F.col("m.of").alias("major")), "mixed")
         rows = with_small(rows, mixed, ["token"])
-        x = rows.filter("component <> major").select("token", *[F.col(c).alias(f"{c}_x") for c in ("cid", "n", "shared", "component")])
-        y = rows.select("token", "major", *[F.col(c).alias(f"{c}_y") for c in ("cid", "n", "shared", "component")])
+        x = rows.filter("component <> major").select("token", *[F.col(c).alias(f"{c}_x") for c in ("cid", "n", "shared", "place", "component")])
+        y = rows.select("token", "major", *[F.col(c).alias(f"{c}_y") for c in ("cid", "n", "shared", "place", "component")])
         once = (F.col("component_y") == F.col("major")) | (F.col("cid_x") < F.col("cid_y"))
-        bound = F.least("shared_x", "shared_y") >= _overlap("n_x", "n_y", self.percent)
+        # The first token that a linked pair shares stands early enough in both for the rest to make up its overlap.
+        least = _overlap("n_x", "n_y", self.percent)
+        early = (F.col("place_x") <= F.col("n_x") - least + 1) & (F.col("place_y") <= F.col("n_y") - least + 1)
+        bound = (F.least("shared_x", "shared_y") >= least) & early
         pairs = x.join(y, "token").filter((F.col("component_x") != F.col("component_y")) & once & self._sized("n_x", "n_y") & bound)
         pairs = pairs.groupBy(F.least("cid_x", "cid_y").alias("x"), F.greatest("cid_x", "cid_y").alias("y"), F.col("n_x").alias("nx"), F.col("n_y").alias("ny")).agg(F.count(F.lit(1)).alias("share"))
         pairs = self.save(pairs.join(stars.select("x", "y"), ["x", "y"], "left_anti"), "across")
