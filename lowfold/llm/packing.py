@@ -14,9 +14,11 @@ from __future__ import annotations
 
 import bisect
 import json
+import sys
+import types
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +31,11 @@ from .util import small_batches, steps
 CAPACITY = 2048
 END_ID = 0
 #: Fillings tried for one longest piece, and steps of the whole search.
-WIDTH, NODES = 6, 20_000
+WIDTH, NODES = 6, 3000
+#: Lengths of a filling up to which it is tried whether one piece can stand for two.
+PAIRED = 8
 #: Words whose ids a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 #: Buckets in which the ranks of one length are counted.
 BUCKETS = 64
 
@@ -104,7 +108,6 @@ class _Search:
     plan: Plan
     bins: int
     nodes: int = 0
-    path: Plan = field(default_factory=list)
 
     def fillings(self, counts: dict[int, int], lengths: list[int], room: int) -> list[tuple[int, tuple[int, ...]]]:
         """Undominated fillings of ``room`` as (waste, lengths), least waste and fewest pieces first.
@@ -114,14 +117,17 @@ class _Search:
         piece can stand for two of them.
         """
         found: list[tuple[int, tuple[int, ...]]] = []
-        budget = [40 * WIDTH]
+        budget = [20 * WIDTH]
 
         def fits(length: int, chosen: tuple[int, ...]) -> bool:
             return counts.get(length, 0) > chosen.count(length)
 
         def dominated(chosen: tuple[int, ...], waste: int) -> bool:
-            for a in range(len(chosen)):
-                lows = [chosen[a]] + [chosen[a] + c for c in chosen[a + 1 :]]
+            # Fillings of many lengths are looked at one piece at a time only.
+            kinds = sorted(set(chosen), reverse=True)
+            for a in range(len(kinds)):
+                again = [2 * kinds[a]] if chosen.count(kinds[a]) > 1 else []
+                lows = [kinds[a]] + (again + [kinds[a] + c for c in kinds[a + 1 :]] if len(kinds) <= PAIRED else [])
                 for k, low in enumerate(lows):
                     at = bisect.bisect_right(lengths, low + waste) - 1
                     if at >= 0 and (lengths[at] > low if k == 0 else lengths[at] >= low) and fits(lengths[at], chosen):
@@ -151,40 +157,59 @@ class _Search:
         found.sort(key=lambda f: (f[0], len(f[1])))
         return found[:WIDTH]
 
-    def run(self, counts: dict[int, int], lengths: list[int], used: int, waste: int) -> None:
-        """Branch on the bin of the longest piece left; ``lengths`` ascend and have counts."""
-        stack = [(counts, lengths, used, waste, [])]
-        while stack and self.nodes < NODES and self.bins > self.bound:
-            counts, lengths, used, waste, path = stack.pop()
+    def run(self, counts: dict[int, int]) -> None:
+        """Branch on the bin of the longest piece left, depth first.
+
+        One histogram is changed and changed back along the path, so memory
+        does not grow with the number of branches.
+        """
+        lengths = sorted(counts)  # those with pieces left
+        frames: list[list] = []  # branches to try, place of the next one
+        path: list[tuple[int, tuple[int, ...], int]] = []  # bins, filling, waste
+        used = waste = 0
+
+        def move(n: int, filling: tuple[int, ...], sign: int) -> None:
+            for length in set(filling):
+                before = counts[length]
+                counts[length] -= sign * n * filling.count(length)
+                if counts[length] == 0:
+                    lengths.pop(bisect.bisect_left(lengths, length))
+                elif before == 0:
+                    bisect.insort(lengths, length)
+
+        while True:
             # Bins so far and the least that the rest can need, its volume given what is wasted.
-            if max(used, -(-(self.total + waste) // self.capacity)) >= self.bins:
-                continue
-            if not lengths:
-                self.plan, self.bins = self._unroll(path), used
-                continue
-            self.nodes += 1
-            longest = lengths[-1]
-            counts = dict(counts)
-            counts[longest] -= 1
-            branches = self.fillings(counts, lengths, self.capacity - longest)
-            counts[longest] += 1
-            for lost, chosen in reversed(branches):
-                every = (longest, *chosen)
-                need = {length: every.count(length) for length in every}
-                n = min(counts[length] // k for length, k in need.items())
-                left = dict(counts)
-                for length, k in need.items():
-                    left[length] -= n * k
-                gone = {length for length in need if not left[length]}
-                stack.append((left, [x for x in lengths if x not in gone] if gone else lengths, used + n, waste + n * lost, (path, (n, every))))
-
-    @staticmethod
-    def _unroll(path) -> Plan:
-        out: Plan = []
-        while path:
-            path, step = path
-            out.append(step)
-        return out[::-1]
+            open_ = max(used, -(-(self.total + waste) // self.capacity)) < self.bins
+            if open_ and not lengths:
+                self.plan, self.bins = [(n, filling) for n, filling, _ in path], used
+                open_ = False
+            if self.nodes >= NODES or self.bins <= self.bound:
+                return
+            if open_:
+                self.nodes += 1
+                longest = lengths[-1]
+                counts[longest] -= 1
+                frames.append([[(lost, (longest, *chosen)) for lost, chosen in self.fillings(counts, lengths, self.capacity - longest)], 0])
+                counts[longest] += 1
+            elif path:
+                n, filling, lost = path.pop()
+                move(n, filling, -1)
+                used, waste = used - n, waste - n * lost
+            while frames and frames[-1][1] == len(frames[-1][0]):
+                frames.pop()
+                if not frames:
+                    return
+                n, filling, lost = path.pop()
+                move(n, filling, -1)
+                used, waste = used - n, waste - n * lost
+            if not frames:
+                return
+            lost, filling = frames[-1][0][frames[-1][1]]
+            frames[-1][1] += 1
+            n = min(counts[length] // filling.count(length) for length in set(filling))
+            move(n, filling, 1)
+            used, waste = used + n, waste + n * lost
+            path.append((n, filling, lost))
 
 
 def solve(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
@@ -195,7 +220,7 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
     if counts:
         total = sum(length * n for length, n in counts.items())
         search = _Search(capacity, total, lower_bound(counts, capacity), plan, sum(n for n, _ in plan))
-        search.run(counts, sorted(counts), 0, 0)
+        search.run(counts)
         plan = search.plan
     return ([(full, (capacity,))] if full else []) + plan
 
@@ -215,15 +240,52 @@ def tokenizer_json(path: str | None = None) -> str:
 class Encoder:
     """Token ids of texts, word by word.
 
-    The tokenizer drops white space and looks at nothing beyond it, so a text's
-    ids are those of its words, which are encoded once and remembered.
+    The tokenizer drops white space, lowers letters and parts letters from
+    signs, and looks at nothing beyond them. So a text's ids are those of its
+    words, and a word's are those of its lowered stem and of the ASCII signs
+    that follow it. Each part is encoded once and remembered.
     """
 
+    #: ASCII signs but the apostrophe, which may belong to the letters beside it.
+    SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+    LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
+    #: A special token that parts words in one call.
+    PART = "<|endoftext|>"
+
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.known: dict[bytes, bytes] = {}
+        self.part = self.tokenizer.token_to_id(self.PART)
+
+    def _encode(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        plain = [w for w in words if b"<|" not in w] if self.part is not None else []
+        for k in range(0, len(plain), 128):
+            some = plain[k : k + 128]
+            ids = np.asarray(self.tokenizer.encode(self.PART.join(w.decode("utf-8", "replace") for w in some), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(ids == self.part)
+            for word, a, b in zip(some, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True):
+                yield word, ids[a:b].tobytes()
+        for word in words if self.part is None else (w for w in words if b"<|" in w):
+            yield word, np.asarray(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, words: list[bytes]) -> None:
+        known, parts, fresh = self.known, [], set()
+        for word in words:
+            low = word if b"<|" in word else word.lower()
+            stem = low.rstrip(self.SIGNS)
+            if len(stem) < len(low) and stem and stem[-1] in self.LETTERS and b"<|" not in low:
+                pair = (stem, low[len(stem) :])
+            else:
+                pair = (low, b"")
+            parts.append(pair)
+            fresh.update(p for p in pair if p not in known)
+        known[b""] = b""
+        fresh.discard(b"")
+        known.update(self._encode(sorted(fresh)))
+        for word, (stem, signs) in zip(words, parts, strict=True):
+            known[word] = known[stem] + known[signs]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -231,14 +293,21 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known = self.known
-        new = [w for w in {w for words in split for w in words} if w not in known]
-        for k in range(0, len(new), 4096):
-            part = new[k : k + 4096]
-            for word, code in zip(part, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-                known[word] = np.asarray(code.ids, "<u4").tobytes()
+        self._learn([w for w in {w for words in split for w in words} if w not in known])
         return [b"".join([known[w] for w in words]) for words in split]
 
 
+def _encoder(spec: str) -> Encoder:
+    """One encoder for each worker process, so that words stay known from task to task."""
+    state = sys.modules.setdefault("lowfold_worker_state", types.ModuleType("lowfold_worker_state"))
+    encoders = state.__dict__.setdefault("encoders", {})
+    key = zlib.crc32(spec.encode()), len(spec)
+    if key not in encoders:
+        encoders.clear()
+        encoders[key] = Encoder(spec)
+    return encoders[key]
+
+
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)`` of each piece of ``docs(doc_id, text)``.
 
@@ -248,7 +317,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
     small_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(spec)
+        encoder = _encoder(spec)
         end = np.asarray([END_ID], "<u4").tobytes()
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
