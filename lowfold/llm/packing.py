@@ -35,7 +35,7 @@ WIDTH, NODES = 6, 3000
 #: Lengths of a filling up to which it is tried whether one piece can stand for two.
 PAIRED = 8
 #: Words whose ids a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 #: Buckets in which the ranks of one length are counted.
 BUCKETS = 64
 
