@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .util import by_ids, components, small_batches, steps, with_small
+from .util import WORD, by_ids, components, held_by_ids, small_batches, steps, with_small
 
 #: A shingle that more documents give in one round is common.
 COMMON = 32
@@ -59,6 +59,11 @@ def _prefix(n, percent: int):
     return n - (percent * n + 99) // 100 + 1
 
 
+def _mark(text: Column) -> Column:
+    """Digest of a text."""
+    return F.unhex(F.sha2(text, 256))
+
+
 def _need(n: Column, percent: int) -> Column:
     return n - F.expr(f"({percent} * n + 99) div 100") + 1
 
@@ -69,18 +74,18 @@ def _overlap(x: str, y: str, percent: int) -> Column:
 
 
 def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``(doc_id, name, n, key, head)``: the size and digest of each set and the shingles of its prefix."""
+    """``(doc_id, name, mark, n, key, head)``: the size and digest of each set and the shingles of its prefix."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(t, size) for t in batch.column(2).to_pylist()]
+            found = [shingles(t, size) for t in batch.column(3).to_pylist()]
             heads = [s[: _prefix(len(s), percent)] if len(s) else s for s in found]
             ends = np.cumsum([0, *map(len, heads)])
             head = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*heads, np.zeros(0, np.int64)])))
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([len(s) for s in found], pa.int64()), pa.array([_key(s) for s in found], pa.binary()), head], names=["doc_id", "name", "n", "key", "head"])
+            yield pa.record_batch([*batch.columns[:3], pa.array([len(s) for s in found], pa.int64()), pa.array([_key(s) for s in found], pa.binary()), head], names=["doc_id", "name", "mark", "n", "key", "head"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "name", "text").mapInArrow(read, f"doc_id {kind}, name string, n long, key binary, head array<long>")
+    return docs.select("doc_id", "name", "mark", "text").mapInArrow(read, f"doc_id {kind}, name string, mark binary, n long, key binary, head array<long>")
 
 
 def _fetch(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -103,18 +108,19 @@ def _fetch(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 class _Join:
-    def __init__(self, docs: DataFrame, size: int, percent: int, label: str):
+    def __init__(self, docs: DataFrame, size: int, percent: int, label: str, marked: bool = False):
         self.spark, self.size, self.percent = docs.sparkSession, size, percent
         small_batches(self.spark)
         self.store = steps(self.spark, label)
         name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-        self.docs = docs.select("doc_id", "text").withColumn("name", name)
+        mark = _mark(F.col("text")) if marked else F.lit(None).cast("binary")
+        self.docs = docs.select("doc_id", "text").withColumn("name", name).withColumn("mark", mark)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         return self.store.save(df, name)
 
-    def run(self) -> DataFrame:
-        """``(doc_id, n, component_id)``."""
+    def groups(self) -> tuple[DataFrame, DataFrame]:
+        """The sets of the rows, and ``(key, component, component_id)`` of those with words."""
         rows = self.save(_sets(self.docs, self.size, self.percent), "sets")
         classes = rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.min("name").alias("name"), F.any_value("n").alias("n"), F.any_value("head").alias("head"))
         self.classes = self.save(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
@@ -126,8 +132,12 @@ class _Join:
         known = self.classes.select("cid", "key", "first").join(reach.withColumnRenamed("id", "cid"), "cid", "left")
         known = self.save(known.withColumn("component", F.coalesce("component", "cid")), "known")
         least = self.save(known.groupBy("component").agg(F.min("first").alias("component_id")), "least")
-        told = self.save(with_small(known, least, ["component"]).select("key", "component_id"), "told")
-        linked = with_small(rows.filter("n > 0").select("doc_id", "n", "key"), told, ["key"]).select("doc_id", "n", "component_id")
+        return rows, self.save(with_small(known, least, ["component"]).select("key", "component", "component_id"), "told")
+
+    def run(self) -> DataFrame:
+        """``(doc_id, n, component_id)``."""
+        rows, told = self.groups()
+        linked = with_small(rows.filter("n > 0").select("doc_id", "n", "key"), told.select("key", "component_id"), ["key"]).select("doc_id", "n", "component_id")
         return linked.unionByName(rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
 
     def _prefixes(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -276,12 +286,28 @@ def near_copies(docs: DataFrame, size: int = 4, percent: int = 85, label: str =
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` with one of each group left: the row with the smallest id, and of equal ids the smallest text."""
-    found = near_copies(docs, size, percent, "ngram-stage")
-    kept = steps(docs.sparkSession, "ngram-stage").save(found.filter(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select("doc_id").distinct(), "kept")
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    ids = kept.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__name"))
-    return by_ids(docs.withColumn("__name", name), ids, "__name").select(*docs.columns)
+    """The rows of ``docs`` with one row of each group left, and all rows without words, which are in no group.
+
+    It is the row with the smallest id, null ids last, and of equal ids the
+    one whose text has the smallest SHA-256. Rows equal in both are told apart
+    by their other columns, as JSON; rows equal in all columns are one.
+    """
+    join = _Join(docs, size, percent, "ngram-stage", marked=True)
+    rows, told = join.groups()
+    rows = with_small(rows.filter("n > 0").select("doc_id", "mark", "key"), told.select("key", "component"), ["key"])
+    least = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("least"))
+
+    def name(doc_id: str, mark: Column) -> Column:
+        return F.concat(F.hex(mark), F.coalesce(F.concat(F.lit("="), F.col(doc_id).cast("string")), F.lit("")))
+
+    kept = join.save(least.select(name("least.doc_id", F.col("least.mark")).alias("__name")), "kept")
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.to_json(F.struct(*others)) if others else F.lit("")
+    # Copies of a row meet before they are shuffled, so a row that is repeated any number of times is one row a task.
+    held = held_by_ids(docs.filter(worded).withColumn("__name", name("doc_id", _mark(F.col("text")))), kept, "__name")
+    held = held.groupBy("__name").agg(F.min_by(F.struct(*docs.columns), order).alias("__row"))
+    return held.join(kept, "__name", "left_semi").select("__row.*").unionByName(docs.filter(~worded))
 
 
 def query(spark, sf: str) -> DataFrame:

@@ -39,11 +39,16 @@ def with_small(big: DataFrame, side: DataFrame, keys: list[str], how: str = "inn
 
 
 def by_ids(rows: DataFrame, ids: DataFrame, key: str, slots: int = FILTER_SLOTS) -> DataFrame:
-    """``rows`` joined with ``ids`` (one row a key), most other rows dropped before they are shuffled.
+    """``rows`` joined with ``ids`` (one row a key), most other rows dropped before they are shuffled."""
+    return held_by_ids(rows, ids, key, slots).join(ids, key)
+
+
+def held_by_ids(rows: DataFrame, ids: DataFrame, key: str, slots: int = FILTER_SLOTS) -> DataFrame:
+    """``rows`` whose key may be among ``ids``, without a shuffle.
 
     The keys are first folded into bitmaps, 4 KB for 32,768 slots and at most
     ``slots`` slots in all, which is what is broadcast. A slot shared by chance
-    lets a row through to the join, which is exact.
+    lets a row through, so an exact join has to follow.
     """
     slot = F.pmod(F.xxhash64(key), F.lit(slots)) + 1
     maps = ids.select(slot.alias("__slot")).groupBy(F.expr("bitmap_bucket_number(__slot)").alias("__part"))
@@ -52,7 +57,7 @@ def by_ids(rows: DataFrame, ids: DataFrame, key: str, slots: int = FILTER_SLOTS)
     byte = F.expr("conv(hex(substring(__map, cast(bitmap_bit_position(__slot) div 8 as int) + 1, 1)), 16, 10)").cast("int")
     bit = F.expr("shiftleft(1, cast(bitmap_bit_position(__slot) % 8 as int))")
     held = marked.join(F.broadcast(maps), "__part").filter(byte.bitwiseAND(bit) != 0)
-    return held.drop("__slot", "__part", "__map").join(ids, key)
+    return held.drop("__slot", "__part", "__map")
 
 
 def components(edges: DataFrame, store: StepStore) -> DataFrame:

@@ -82,6 +82,17 @@ def test_one_of_each_stays(odd_docs):
     assert {5, 7, 48, 40, 41, 42, 43, 44} <= ids and not ids & {45, 46, 47, 49}
 
 
+def test_one_row_of_each_group(spark):
+    a, b, c, d, e = (prose(k, 80) for k in range(601, 606))
+    rows = [(1, a, "x"), (2, a + " more", "x"), (2, b, "x"), (3, b, "x"), *[(None, a, "x")] * 3, *[(4, d, "x")] * 50, *[(None, e, "x")] * 20, (None, e, "w")]
+    rows += [(5, c + " more", None)] * 2 + [(None, c, "x")] * 40 + [(6, "", "x")] * 2 + [(6, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, name STRING").repartition(5)
+    got = [tuple(r) for r in ngram_join.one_of_each(docs).collect()]
+    # One of each group, a row without id only where no other has one; rows without words are in no group.
+    want = [(1, a, "x"), (2, b, "x"), (4, d, "x"), (5, c + " more", None), (None, e, "w"), (6, "", "x"), (6, "", "x"), (6, None, "x")]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_joins_agree_beyond_the_broadcast_size(spark, monkeypatch):
     monkeypatch.setattr(util, "SMALL_ROWS", 0)
     texts = {k: t for k, t in corpus().items() if k % 3 or k >= 270}
