@@ -86,8 +86,6 @@ PLAIN = str.maketrans(HOMOGLYPHS | WIDE | OTHER_DIGITS)
 
 _ODD = re.compile("[" + re.escape("".join([*HOMOGLYPHS, *WIDE, *OTHER_DIGITS, *HIDDEN])) + "]")
 _FOLD = {c: chr(t) if isinstance(t, int) else t for c, t in ((chr(k), v) for k, v in PLAIN.items())} | dict.fromkeys(HIDDEN, "")
-_BRACKET = re.compile(r"[\[({<]\s{0,3}(?:[aA][tT]|[dD][oO][tT]|[aA][rR][rR][oO][bB][aA]|[pP][uUoO][nNiI][a-zA-Z]{2}|[@.])\s{0,3}[\])}>]")
-_DOT_WORDS = ("dot", "punkt", "point", "punto")
 
 
 def _trie(words: list[str]) -> str:
@@ -104,11 +102,16 @@ _NUMBER = _trie(sorted(SPELLED))
 _SPELLED = re.compile(rf"{_NUMBER}(?:[\s,.-]{{1,3}}{_NUMBER}(?![^\W_])){{4,}}+")
 _ONE = re.compile(rf"{_NUMBER}(?![^\W_])")
 _PART = r"[A-Za-z0-9][A-Za-z0-9_%+-]{0,63}"
-_AT = r"(?:\s{0,3}[\[({<]\s{0,3}(?:at|arroba|@)\s{0,3}[\])}>]\s{0,3}|\s{1,3}(?:at|arroba)\s{1,3}|\s{0,3}@\s{0,3})"
-_DOT = r"(?:\s{0,3}[\[({<]\s{0,3}(?:dot|punkt|point|punto|\.)\s{0,3}[\])}>]\s{0,3}|\s{1,3}(?:dot|punkt|point|punto)\s{1,3}|\.)"
+_AT_WORD, _DOT_WORD, _OPEN, _SHUT = "at|arroba", "dot|punkt|point|punto", r"[\[({<]\s{0,3}", r"\s{0,3}[\])}>]"
+_AT = rf"(?:\s{{0,3}}{_OPEN}(?:{_AT_WORD}|@){_SHUT}\s{{0,3}}|\s{{1,3}}(?:{_AT_WORD})\s{{1,3}}|\s{{0,3}}@\s{{0,3}})"
+#: A disguised dot, and any dot.
+_DOT_SIGN = rf"\s{{0,3}}{_OPEN}(?:{_DOT_WORD}|\.){_SHUT}\s{{0,3}}|\s{{1,3}}(?:{_DOT_WORD})\s{{1,3}}"
+_DOT = rf"(?:{_DOT_SIGN}|\.)"
 _HOST = r"[A-Za-z0-9][A-Za-z0-9-]{0,62}"
 #: A disguised address: a name, a sign for @ and a host with at least one sign for a dot and a last part of letters.
 DISGUISED = re.compile(rf"(?i)(?<![A-Za-z0-9._%+-]){_PART}(?:{_DOT}{_PART}){{0,4}}?{_AT}{_HOST}(?:{_DOT}{_HOST}){{0,5}}{_DOT}[A-Za-z]{{2,24}}(?![A-Za-z0-9_-])")
+#: What each match of it that ``_undisguise`` accepts holds: a sign in brackets, a word for a dot, or white space beside an @.
+_HINT = re.compile(rf"(?i){_OPEN}(?:{_AT_WORD}|{_DOT_WORD}|[@.]){_SHUT}|\s(?:{_DOT_WORD})\s|\s@|@\s")
 _SIGN = re.compile(rf"(?i)(?P<at>{_AT})|(?P<dot>{_DOT})")
 
 
@@ -169,9 +172,9 @@ def normalise(text: str) -> Normal | None:
             changes.append((run.start(), run.end(), "".join(SPELLED[w[0]] for w in words)))
     if changes:
         now = (now or Normal(plain, None)).rewrite(changes)
-        plain, lower = now.text, now.text.lower()
+        plain = now.text
     signs = []
-    if any(w in lower for w in _DOT_WORDS) or _BRACKET.search(plain):
+    if _HINT.search(plain):
         for found in DISGUISED.finditer(plain):
             signs += _undisguise(found)
     if signs:

@@ -50,6 +50,26 @@ def test_disguises_map_back_to_the_source(text, found):
     assert [f"{pii.KINDS[k]}:{text[a:b]}" for a, b, k in pii.spans(text)[1]] == found
 
 
+PIECES = ["john", "example", "com", "@", " ", "  ", "\n", ".", " at ", "[at]", "( AT )", "arroba", " dot ", "{dot}", "<.>", "Punkt", "poınt", "pun\u212at", "appointment", "é", "-", "7"]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=14))
+def test_addresses_are_found_whatever_else_the_text_holds(pieces):
+    text = "".join(pieces)
+    gated = pii.spans(text)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pii, "_HINT", re.compile(""))
+        assert pii.spans(text) == gated
+
+
+@pytest.mark.parametrize("address", ["john @ example.com", "john@ example.com", "john\n@example.com"])
+@pytest.mark.parametrize("around", ["{}", "No sign. {}, or so", "an appointment. {}!"])
+def test_white_space_beside_the_sign(address, around):
+    text = around.format(address)
+    assert [f"{pii.KINDS[k]}:{text[a:b]}" for a, b, k in pii.spans(text)[1]] == [f"email:{address}"]
+
+
 def test_base_spans_stay_and_added_ones_do_not_overlap_them():
     text = "a@b.co 1.2.3.4 +49 30 1234567 4111 1111 1111 1111 x [at] y [dot] zz"
     base, every = pii.spans(text)
