@@ -1,10 +1,13 @@
-"""Personal data: fixed patterns on the text, then on an offset-preserving normal form of it.
+"""Personal data: fixed patterns on the text, then on offset-preserving normal forms of it.
 
-The normal form undoes disguises: a transducer reads the text once, writes
+The normal forms undo disguises: a transducer reads the text once, writes
 plain characters for homoglyphs, digits for spelled digits and ``@`` or ``.``
 for "[at]" or "(dot)", and keeps for every character written the stretch of
-source characters it stands for. Identifiers found in the normal form are
-mapped back, so every span is a span of the source.
+source characters it stands for. Identifiers found in a normal form are
+mapped back, so every span is a span of the source. One form undoes disguised
+addresses and long runs of spelled digits, the others all numbers in which
+digits, spelled digits and signs for dots stand together; what is a number of
+which kind is left to the patterns.
 """
 
 from __future__ import annotations
@@ -114,6 +117,11 @@ DISGUISED = re.compile(rf"(?i)(?<![A-Za-z0-9._%+-]){_PART}(?:{_DOT}{_PART}){{0,4
 _HINT = re.compile(rf"(?i){_OPEN}(?:{_AT_WORD}|{_DOT_WORD}|[@.]){_SHUT}|\s(?:{_DOT_WORD})\s|\s@|@\s")
 _SIGN = re.compile(rf"(?i)(?P<at>{_AT})|(?P<dot>{_DOT})")
 
+_GLUE = r"[\s,.()-]{1,3}"
+#: Digits and spelled digits, at least two of them with signs for dots or little else in between.
+_CHAIN = re.compile(rf"(?<![0-9])(?:(?<![^\W_]){_NUMBER}(?![^\W_])|[0-9]++)(?:(?:{_DOT_SIGN}|{_GLUE})(?:{_NUMBER}(?![^\W_])|[0-9]++))++")
+_LINK = re.compile(rf"(?P<figure>[0-9]++)|(?P<word>{_NUMBER}(?![^\W_]))|(?P<dot>{_DOT_SIGN})|(?P<glue>{_GLUE})")
+
 
 def fold(text: str) -> tuple[str, list[int] | None]:
     """Homoglyphs and odd digits as plain characters, hidden ones dropped; the source position of each character, None if all are their own."""
@@ -158,12 +166,16 @@ def _undisguise(found: re.Match) -> list[tuple[int, int, str]]:
     return [] if len(ats) != 1 or (plain_dots and ats[0].strip().isalpha()) else signs
 
 
+def lowered(plain: str) -> str:
+    """The text in lower case, character by character."""
+    lower = plain.lower()
+    return lower if len(lower) == len(plain) else plain.translate({c: c + 32 for c in range(65, 91)})
+
+
 def normalise(text: str) -> Normal | None:
-    """The normal form, or None where the text has no disguise."""
+    """The first normal form, or None where the text has no such disguise."""
     plain, place = fold(text)
-    lower = plain.lower()
-    if len(lower) != len(plain):
-        lower = plain.translate({c: c + 32 for c in range(65, 91)})
+    lower = lowered(plain)
     now = Normal(plain, place) if place is not None else None
     changes = []
     for run in _SPELLED.finditer(lower):
@@ -182,26 +194,55 @@ def normalise(text: str) -> Normal | None:
     return now
 
 
+def numbers(plain: str, lower: str, place: list[int] | None) -> list[Normal]:
+    """Normal forms in which spelled digits and signs for dots in numbers are undone.
+
+    What stands between two spelled digits goes; dots without white space stay
+    in the first form and go in the second, which is there if they differ.
+    """
+    kept, dropped = [], []
+    for chain in _CHAIN.finditer(lower):
+        parts = list(_LINK.finditer(lower, *chain.span()))
+        for k, part in enumerate(parts):
+            at = part.span()
+            if part.lastgroup == "word":
+                kept.append((*at, SPELLED[part[0]]))
+                dropped.append(kept[-1])
+            elif part.lastgroup == "dot":
+                kept.append((*at, "."))
+                dropped.append(kept[-1])
+            elif part.lastgroup == "glue" and parts[k - 1].lastgroup == parts[k + 1].lastgroup == "word":
+                dropped.append((*at, ""))
+                if part[0] != ".":
+                    kept.append(dropped[-1])
+    return [Normal(plain, place).rewrite(c) for c in ([kept] if kept == dropped else [kept, dropped]) if c]
+
+
+def forms(text: str) -> list[tuple[Normal, tuple[int, ...]]]:
+    """The normal forms of a text and the places in KINDS of what is looked for in each."""
+    first = normalise(text)
+    plain, place = fold(text)
+    return [*([(first, (0, 1, 2, 3))] if first else []), *((form, (1, 2, 3)) for form in numbers(plain, lowered(plain), place))]
+
+
 def spans(text: str | None) -> tuple[list[Span], list[Span]]:
-    """``(base, all)``: spans of the fixed patterns, and these with what only the normal form shows.
+    """``(base, all)``: spans of the fixed patterns, and these with what only the normal forms show.
 
-    A span of the normal form counts if it covers a disguise, that is if its
-    source is not the plain text itself, and if it overlaps no base span of
-    its kind.
+    A span of a normal form counts if it covers a disguise, that is if its
+    source is not the plain text itself, and if it overlaps no span of its kind
+    that is plain or found in a form before.
     """
     if not text:
         return [], []
     base = base_spans(text)
-    form = normalise(text)
-    if form is None:
-        return base, base
     extra = []
     taken = [sorted((a, b) for a, b, k in base if k == kind) for kind in range(len(KINDS))]
-    for a, b, kind in base_spans(form.text):
-        start, end = form.start[a], form.end[b - 1]
-        if text[start:end] != form.text[a:b] and not any(start < y and x < end for x, y in taken[kind]):
-            taken[kind].append((start, end))
-            extra.append((start, end, kind))
+    for form, kinds in forms(text):
+        for a, b, kind in base_spans(form.text):
+            start, end = form.start[a], form.end[b - 1]
+            if kind in kinds and text[start:end] != form.text[a:b] and not any(start < y and x < end for x, y in taken[kind]):
+                taken[kind].append((start, end))
+                extra.append((start, end, kind))
     return base, sorted(base + extra, key=lambda s: (s[0], s[2]))
 
 

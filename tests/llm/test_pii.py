@@ -70,6 +70,34 @@ def test_white_space_beside_the_sign(address, around):
     assert [f"{pii.KINDS[k]}:{text[a:b]}" for a, b, k in pii.spans(text)[1]] == [f"email:{address}"]
 
 
+@pytest.mark.parametrize(
+    "number",
+    [
+        "ip:192[.]168[.]0[.]1", "ip:192 dot 168 dot 0 dot 1", "ip:192(DOT)168.0 Punkt 1", "ip:one nine two.one six eight.zero.one", "ip:one nine two dot 168 dot zero[.]one", "ip:１０ dot 0.0 dot one",
+        "phone:+49 30 one two three 4567", "phone:+49 (30) one-two-three 4567", "phone:+four nine three zero one two three four five", "phone:+４９ 30 ONE two 3 4567",
+        "card:four one one one 1111 1111 1111", "card:4111 1111 1111 one one one one", "card:4111-one one.one one-1111-1111",
+    ],
+)
+@pytest.mark.parametrize("around", ["{}", "It is {}, or so, at one point.", "(see {})"])
+def test_numbers_in_digits_words_and_signs(number, around):
+    kind, number = number.split(":")
+    assert f"{kind}:{number}" in [f"{pii.KINDS[k]}:{around.format(number)[a:b]}" for a, b, k in pii.spans(around.format(number))[1]]
+
+
+@pytest.mark.parametrize("text", ["See 1. 2. 3. 4", "one. Two, three dot", "300 dot 1 dot 1 dot 1", "4111 1111 1111 one one one two", "anyone 5 dot 3", "at 12 one two", "7 \u017fix dot 5"])
+def test_numbers_of_no_kind(text):
+    assert pii.spans(text)[1] == []
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.lists(st.sampled_from([*PIECES, "one", "seven", "ＦＩＶＥ", "fünf", "\u017fix", "İ", "192", "4111", "+49", "+", ",", "(", ")", "\u200b"]), max_size=24))
+def test_spans_are_in_order_and_apart(pieces):
+    text = "".join(pieces)
+    base, every = pii.spans(text)
+    assert set(base) <= set(every) and every == sorted(every, key=lambda s: (s[0], s[2])) and all(0 <= a < b <= len(text) for a, b, _ in every)
+    assert all(x[2] != y[2] or x[1] <= y[0] for x, y in zip(every, every[1:], strict=False))
+
+
 def test_base_spans_stay_and_added_ones_do_not_overlap_them():
     text = "a@b.co 1.2.3.4 +49 30 1234567 4111 1111 1111 1111 x [at] y [dot] zz"
     base, every = pii.spans(text)
