@@ -1,0 +1,86 @@
+import hashlib
+import random
+import re
+
+import pytest
+from llm_texts import prose
+
+from lowfold.llm import util, winnowing
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def split(text):
+    return WORD.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
+
+
+def brute(docs, items):
+    windows = {}
+    for name, text in items:
+        ws = split(text)
+        n = min(10, len(ws))
+        for k in range(len(ws) - n + 1 if n else 0):
+            windows.setdefault(tuple(ws[k : k + n]), set()).add("" if name is None else str(name))
+    out = []
+    for doc_id, text in docs:
+        ws, hit, found = split(text), set(), set()
+        for n in {len(w) for w in windows}:
+            for k in range(len(ws) - n + 1):
+                holders = windows.get(tuple(ws[k : k + n]))
+                if holders:
+                    hit.update(range(k, k + n))
+                    found |= holders
+        out.append((doc_id, len(ws), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=repr)
+
+
+def run(spark, docs, items):
+    d = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+    b = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    return sorted((tuple(r) for r in winnowing.contamination(d, b).collect()), key=repr)
+
+
+@pytest.mark.parametrize("small", [0, 100_000])
+def test_equals_brute_force(spark, monkeypatch, small):
+    monkeypatch.setattr(util, "SMALL_ROWS", small)
+    monkeypatch.setattr(winnowing, "SMALL_ROWS", small)
+    draw = random.Random(5)
+    items = [(k, prose(500 + k, draw.randrange(10, 60))) for k in range(30)]
+    items += [(40, "one Two three"), (41, "w1 w2"), (42, "solo"), (43, ""), (44, None), (45, "..."), (None, prose(900, 20)), (46, prose(900, 20)), (46, prose(901, 12)), (47, "a " * 30)]
+    items += [(48, prose(902, 9)), (49, prose(902, 10))]
+    docs = [(k, prose(k, draw.randrange(0, 300))) for k in range(60)]
+    for k in range(60, 160):
+        ws = split(items[k % 30][1])
+        a = draw.randrange(0, max(1, len(ws) - 9))
+        part = ws[a : a + draw.choice([9, 10, 11, 25, 200])]
+        docs.append((k, f"{prose(k, draw.randrange(20))} {', '.join(part).upper()} {prose(k + 1, draw.randrange(20))}"))
+    docs += [(200, None), (201, ""), (202, "one two THREE, solo"), (203, "a " * 500), (204, prose(900, 20)), (204, prose(900, 20)), (None, prose(901, 12)), (None, prose(901, 12)), (205, "Ünï É " * 20), (206, prose(902, 12))]
+    docs += [(300 + k, prose(900, 20) + " tail") for k in range(200)]
+    assert run(spark, docs, items) == brute(docs, items)
+
+
+def test_every_long_span_is_kept(spark):
+    draw = random.Random(3)
+    rows = []
+    for k in range(40):
+        span = [f"w{draw.randrange(4)}" for _ in range(10)]
+        rows.append((k, *([*(f"{side}{draw.randrange(9)}" for _ in range(draw.randrange(12))), *span, *(f"{side}{draw.randrange(9)}" for _ in range(draw.randrange(12)))] for side in "xy")))
+    df = spark.createDataFrame(rows, "k INT, a ARRAY<STRING>, b ARRAY<STRING>")
+    got = df.select(winnowing.fingerprints(df.a).alias("a"), winnowing.fingerprints(df.b).alias("b")).collect()
+    assert all({x.fp for x in r.a} & {x.fp for x in r.b} for r in got)
+
+
+def test_odd_tables(spark, odd_docs, no_docs):
+    none = spark.createDataFrame([], "item_id BIGINT, text STRING, fp STRING, window STRING")
+    items = spark.createDataFrame([(1, prose(3, 51), "clash", "clash")], none.schema)
+    assert winnowing.contamination(no_docs, items).count() == 0
+    assert not winnowing.contamination(odd_docs, none).filter("contaminated").count()
+    rows = [(r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect()]
+    got = sorted((tuple(r) for r in winnowing.contamination(odd_docs, items).collect()), key=repr)
+    assert got == brute(rows, [(1, prose(3, 51))]) and sum(r[5] for r in got) == 2
+
+
+def test_native(spark, odd_docs):
+    items = odd_docs.select("text", odd_docs.doc_id.alias("item_id"))
+    plan = winnowing.contamination(odd_docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
