@@ -140,9 +140,9 @@ ORACLE = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
   i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
   m AS (SELECT item, least(len(ws), 10) AS n, unnest(range(1, greatest(len(ws) - 8, 2))) AS k, ws FROM i WHERE len(ws) > 0),
-  w AS (SELECT DISTINCT item, n, array_to_string(ws[k:k + n - 1], ' ') AS window FROM m),
+  w AS (SELECT DISTINCT item, n, array_to_string(ws[k:k + n - 1], ' ') AS span FROM m),
   t AS (SELECT r, n, unnest(range(1, CAST(len(ws) - n + 2 AS BIGINT))) AS k, ws FROM d JOIN (SELECT DISTINCT n FROM w) ON len(ws) >= n),
-  h AS (SELECT r, t.n, k, item FROM t JOIN w ON w.n = t.n AND window = array_to_string(ws[k:k + t.n - 1], ' ')),
+  h AS (SELECT r, t.n, k, item FROM t JOIN w ON w.n = t.n AND span = array_to_string(ws[k:k + t.n - 1], ' ')),
   p AS (SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT DISTINCT r, unnest(range(k, CAST(k + n AS BIGINT))) AS pos FROM h) GROUP BY r),
   s AS (SELECT r, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
