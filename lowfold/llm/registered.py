@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import fim, html_text, licenses, mixing, near_dedup, ngram_join, packing, pii, quality_classifier, quality_rules, warc, winnowing
+from . import collocations, fim, html_text, licenses, mixing, near_dedup, ngram_join, packing, pii, quality_classifier, quality_rules, warc, winnowing
 
 QUERIES = {
     "op1_mix": mixing.query,
@@ -18,7 +18,8 @@ QUERIES = {
     "op9_warc": warc.query,
     "op10_near_dedup": near_dedup.query,
     "op11_fim": fim.query,
+    "op12_collocations": collocations.query,
     "op13_winnowing": winnowing.query,
     "pipeline": corpus_pipeline.run,
 }
-SQL = {"op1_mix": mixing.ORACLE, "op2_ngram_join": ngram_join.ORACLE, "op9_warc": warc.ORACLE, "op10_near_dedup": near_dedup.ORACLE, "op11_fim": fim.ORACLE, "op13_winnowing": winnowing.ORACLE}
+SQL = {"op1_mix": mixing.ORACLE, "op2_ngram_join": ngram_join.ORACLE, "op9_warc": warc.ORACLE, "op10_near_dedup": near_dedup.ORACLE, "op11_fim": fim.ORACLE, "op12_collocations": collocations.ORACLE, "op13_winnowing": winnowing.ORACLE}
