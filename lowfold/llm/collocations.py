@@ -140,12 +140,23 @@ def _runs(docs: DataFrame, bits: bytes, slots: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, mask = np.frombuffer(bits, np.uint8), np.uint64(slots - 1)
         frequent = lambda h: bits[(h & (slots - 1)) >> 3] >> (h & 7) & 1
-        words, keys, size = _Words(frequent), [], 0
+        words, ids, begins, size = _Words(frequent), [], [], 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            nonlocal keys, size
-            runs, n = np.unique(np.concatenate(keys), return_counts=True)
-            keys, size = [], 0
+            nonlocal ids, begins, size
+            every = np.concatenate([*ids, np.zeros(LONGEST, np.uint32)])
+            begin = np.concatenate(begins) & (every[:-LONGEST] > 0)
+            h = np.asarray(words.hashes, np.uint64)[every]
+            slot = pair_hash(h[:-1], h[1:]) & mask
+            joined = (flat[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+            joined &= (every[:-1] > 0) & (every[1:] > 0)
+            at = np.flatnonzero(begin)
+            run, held = every[at].astype(np.uint64), np.ones(len(at), bool)
+            for k in range(1, LONGEST):
+                held &= joined[at + k - 1]
+                run = run << np.uint64(16) | np.where(held, every[at + k], 0).astype(np.uint64)
+            runs, n = np.unique(run, return_counts=True)
+            ids, begins, size = [], [], 0
             at = [(runs >> np.uint64(16 * (3 - k)) & np.uint64(0xFFFF)).astype(np.int32) for k in range(LONGEST)]
             text = pa.array([*words.words], pa.binary()).cast(pa.string())
             take = lambda k: text.take(pa.array(at[k], mask=at[k] == 0))
@@ -163,23 +174,15 @@ def _runs(docs: DataFrame, bits: bytes, slots: int) -> DataFrame:
             for start in range(0, len(found), SLICE_WORDS):
                 part = found[start : start + SLICE_WORDS + LONGEST - 1]
                 if size >= CHUNK_WORDS or len(words.words) + len(part) >= 1 << 16:
-                    if keys:
+                    if ids:
                         yield from out()
                     words.clear()
-                ids = words(lang, part)
-                count = min(len(part), SLICE_WORDS)
-                ids = np.append(ids, np.zeros(LONGEST, np.uint32))[: count + LONGEST - 1]
-                h = np.asarray(words.hashes, np.uint64)[ids]
-                slot = pair_hash(h[:-1], h[1:]) & mask
-                joined = (flat[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-                joined &= (ids[:-1] > 0) & (ids[1:] > 0)
-                run, held = ids[:count].astype(np.uint64), ids[:count] > 0
-                for k in range(1, LONGEST):
-                    held = held & joined[k - 1 : k - 1 + count]
-                    run = run << np.uint64(16) | np.where(held, ids[k : k + count], 0).astype(np.uint64)
-                keys.append(run[ids[:count] > 0])
-                size += count
-        if keys:
+                ids += [words(lang, part), np.zeros(1, np.uint32)]
+                begin = np.zeros(len(part) + 1, bool)
+                begin[:SLICE_WORDS] = True
+                begins.append(begin)
+                size += len(part) + 1
+        if ids:
             yield from out()
 
     return _texts(docs).mapInArrow(read, "lang string, head string, last string, size int, n long")
