@@ -14,8 +14,8 @@ from __future__ import annotations
 
 import bisect
 import json
-import sys
-import types
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,8 +34,8 @@ END_ID = 0
 WIDTH, NODES = 6, 3000
 #: Lengths of a filling up to which it is tried whether one piece can stand for two.
 PAIRED = 8
-#: Words whose ids a task remembers.
-REMEMBERED = 1_000_000
+#: Words that a worker process remembers for sure; it holds up to twice as many, at about 160 bytes each.
+REMEMBERED = 400_000
 #: Buckets in which the ranks of one length are counted.
 BUCKETS = 64
 
@@ -242,13 +242,13 @@ class Encoder:
 
     The tokenizer drops white space, lowers letters and parts letters from
     signs, and looks at nothing beyond them. So a text's ids are those of its
-    words, and a word's are those of its lowered stem and of the ASCII signs
-    that follow it. Each part is encoded once and remembered.
+    words, and a word's are those of its letters and of the ASCII signs that
+    follow them. Each is encoded once and remembered.
     """
 
     #: ASCII signs but the apostrophe, which may belong to the letters beside it.
     SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
-    LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
+    EDGE = re.compile(rb"[a-z](?=[" + re.escape(SIGNS) + rb"])")
     #: A special token that parts words in one call.
     PART = "<|endoftext|>"
 
@@ -257,55 +257,80 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.part = self.tokenizer.token_to_id(self.PART)
+        suffix = json.loads(spec)["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        #: Ids that end a run of letters.
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        for token, number in vocabulary.items() if suffix else ():
+            self.ends[number] = token.endswith(suffix)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _encode(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        plain = [w for w in words if b"<|" not in w] if self.part is not None else []
+        """Words with their ids. Those of letters alone are one run each, so the ids that end a run part them;
+        others are parted by a special token, or encoded one by one."""
+        letters, plain, odd = [], [], []
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            if text.isascii() and text.isalpha() or unicodedata.normalize("NFC", text).lower().isalpha():
+                letters.append((word, text))
+            elif self.part is not None and b"<|" not in word:
+                plain.append((word, text))
+            else:
+                odd.append((word, text))
+        for k in range(0, len(letters), 256):
+            some = letters[k : k + 256]
+            ids = self._ids(" ".join(text for _, text in some))
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(some) or cuts[-1] != len(ids):
+                odd += some
+                continue
+            yield from self._parted(some, ids, [0, *cuts[:-1].tolist()], cuts.tolist())
         for k in range(0, len(plain), 128):
             some = plain[k : k + 128]
-            ids = np.asarray(self.tokenizer.encode(self.PART.join(w.decode("utf-8", "replace") for w in some), add_special_tokens=False).ids, "<u4")
+            ids = self._ids(self.PART.join(text for _, text in some))
             cuts = np.flatnonzero(ids == self.part)
-            for word, a, b in zip(some, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True):
-                yield word, ids[a:b].tobytes()
-        for word in words if self.part is None else (w for w in words if b"<|" in w):
-            yield word, np.asarray(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+            yield from self._parted(some, ids, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)])
+        for word, text in odd:
+            yield word, self._ids(text).tobytes()
 
-    def _learn(self, words: list[bytes]) -> None:
-        known, parts, fresh = self.known, [], set()
-        for word in words:
-            low = word if b"<|" in word else word.lower()
-            stem = low.rstrip(self.SIGNS)
-            if len(stem) < len(low) and stem and stem[-1] in self.LETTERS and b"<|" not in low:
-                pair = (stem, low[len(stem) :])
-            else:
-                pair = (low, b"")
-            parts.append(pair)
-            fresh.update(p for p in pair if p not in known)
-        known[b""] = b""
-        fresh.discard(b"")
-        known.update(self._encode(sorted(fresh)))
-        for word, (stem, signs) in zip(words, parts, strict=True):
-            known[word] = known[stem] + known[signs]
+    @staticmethod
+    def _parted(words: list[tuple[bytes, str]], ids: np.ndarray, starts: list[int], stops: list[int]) -> Iterator[tuple[bytes, bytes]]:
+        data = ids.tobytes()
+        for (word, _), a, b in zip(words, starts, stops, strict=True):
+            yield word, data[4 * a : 4 * b]
+
+    def _words(self, text: str | None) -> list[bytes]:
+        """Lowered words, ASCII signs after a letter apart. Texts that may hold special tokens stay as they are."""
+        data = (text or "").encode("utf-8", "surrogatepass")
+        return data.split() if b"<|" in data else self.EDGE.sub(rb"\g<0> ", data.lower()).split()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
+        split = [self._words(t) for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        self._learn([w for w in {w for words in split for w in words} if w not in known])
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        missing = set().union(*split).difference(known)
+        met = missing.intersection(older)
+        known.update((w, older[w]) for w in met)
+        known.update(self._encode(sorted(missing.difference(met))))
         return [b"".join([known[w] for w in words]) for words in split]
 
 
+_ENCODERS: dict[tuple[int, int], Encoder] = {}
+
+
 def _encoder(spec: str) -> Encoder:
     """One encoder for each worker process, so that words stay known from task to task."""
-    state = sys.modules.setdefault("lowfold_worker_state", types.ModuleType("lowfold_worker_state"))
-    encoders = state.__dict__.setdefault("encoders", {})
     key = zlib.crc32(spec.encode()), len(spec)
-    if key not in encoders:
-        encoders.clear()
-        encoders[key] = Encoder(spec)
-    return encoders[key]
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(spec)
+    return _ENCODERS[key]
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
