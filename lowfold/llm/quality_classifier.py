@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .mixing import draw
 from .quality_rules import describe
-from .util import by_ids, small_batches, steps
+from .util import small_batches, steps
 
 #: Documents that the scorer is trained on, at most; the votes of all documents are counted.
 SAMPLE = 8192
@@ -151,23 +151,25 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], goal: np.ndarray) -> np.nda
 def classify(docs: DataFrame, sample: int = SAMPLE, keep: float = KEEP, label: str = "classifier") -> DataFrame:
     """``docs`` with ``__votes``, ``__posterior``, ``__score`` and ``__kept``.
 
-    Needs ``doc_id`` and ``text``. Null and empty texts have no words: they are
-    voted on as short and scored by the offset alone. Rows with equal texts
-    score alike. An empty table gives no rows.
+    Needs ``text``. Null and empty texts have no words: they are voted on as
+    short and scored by the offset alone. Votes belong to texts, so rows with
+    equal texts, whatever their ids, vote and score alike, and each text is
+    drawn once at most. An empty table gives no rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
     store = steps(spark, label)
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    told = store.save(docs.select(name.alias("name"), voted(F.col("text")).alias("votes")), "votes")
+    mark = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    told = store.save(docs.select(mark.alias("mark"), voted(F.coalesce(F.col("text"), F.lit(""))).alias("votes")), "votes")
     patterns = told.groupBy("votes").agg(F.count(F.lit(1)).alias("n"))  # at most 3 ** labellers rows
     posterior = estimate({r["votes"]: r["n"] for r in patterns.collect()})
+    texts = store.save(told.groupBy("mark").agg(F.min("votes").alias("votes")), "texts")
 
-    total = told.count()
-    drawn = told.select("name", draw(F.col("name"), 23).alias("draw")).filter(F.col("draw") < int(min(1.0, 1.5 * sample / max(1, total) + 1e-9) * (1 << 52)))
-    picked = store.save(drawn.distinct().orderBy("draw", "name").limit(sample), "picked")
-    rows = by_ids(docs.select(name.alias("name"), "text"), picked, "name").dropDuplicates(["name"])
-    rows = rows.join(told.dropDuplicates(["name"]).join(F.broadcast(picked.select("name")), "name"), "name")
+    total = texts.count()
+    drawn = texts.withColumn("draw", draw(F.hex("mark"), 23))
+    drawn = drawn.filter(F.col("draw") < int(min(1.0, 1.5 * sample / max(1, total) + 1e-9) * (1 << 52)))
+    picked = F.broadcast(store.save(drawn.orderBy("draw", "mark").limit(sample), "picked"))
+    rows = docs.select(mark.alias("mark"), "text").join(picked, "mark").groupBy("mark", "votes", "draw").agg(F.min("text").alias("text"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, seen, goal = Features(), [], []
@@ -178,7 +180,7 @@ def classify(docs: DataFrame, sample: int = SAMPLE, keep: float = KEEP, label: s
         yield pa.record_batch([pa.array([train(seen, np.asarray(goal)).tolist()], pa.list_(pa.float64()))], names=["weights"])
 
     # One task reads the sample, which is bounded.
-    ordered = rows.select("text", "votes", "draw", "name").coalesce(1).sortWithinPartitions("draw", "name").select("text", "votes")
+    ordered = rows.coalesce(1).sortWithinPartitions("draw", "mark").select("text", "votes")
     model = store.save(ordered.mapInArrow(learn, "weights array<double>"), "model").first()
     weights = np.asarray(model["weights"] if model else np.zeros(SLOTS + 1), np.float32)
 
@@ -190,7 +192,9 @@ def classify(docs: DataFrame, sample: int = SAMPLE, keep: float = KEEP, label: s
 
     score = F.pandas_udf(rate, "double")
     known = F.create_map(*[F.lit(x) for pair in posterior.items() for x in pair]).cast("map<string,double>")
-    out = docs.withColumn("__score", score(F.col("text"))).withColumn("__votes", voted(F.col("text")))
+    scored = docs.withColumn("__score", score(F.col("text"))).withColumn("__mark", mark)
+    # A text's votes are looked up; of many copies of one text adaptive execution splits the rows.
+    out = scored.join(texts.select(F.col("mark").alias("__mark"), F.col("votes").alias("__votes")), "__mark").drop("__mark")
     out = out.withColumn("__posterior", F.try_element_at(known, F.col("__votes")))
     return out.withColumn("__kept", F.col("__score") >= keep)
 

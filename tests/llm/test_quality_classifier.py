@@ -48,3 +48,12 @@ def test_odd_rows(odd_docs, no_docs):
     rows = out.collect()
     assert len(rows) == odd_docs.count() and all(r["__score"] is not None and r["__posterior"] is not None for r in rows)
     assert qc.classify(no_docs).count() == 0
+
+
+def test_rows_of_one_id_keep_their_own_votes(spark):
+    """Null and repeated ids with different texts: each row's votes are those of its own text."""
+    good, bad = "A plain sentence of ordinary words stands here. " * 12, "## 1 $ | " * 40
+    rows = [(None, good), (None, bad), (7, good + "So."), (7, bad + "x"), (8, None), (8, "")] * 5
+    out = qc.classify(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()
+    assert len(out) == len(rows) and all(r["__votes"] == qc.vote(r.text) for r in out)
+    assert len({(r.text or "", r["__score"]) for r in out}) == 5
