@@ -132,8 +132,8 @@ def _standardize_apply(spark, sf):
 
 
 def _row_identity(spark, sf):
-    lines = _lines(spark, sf).select("line_id")
-    return prepare.dense_index(lines, "line_id", StepStore(spark, "query"))
+    events = _table(spark, sf, "events").select("event_id", "user_id")
+    return prepare.dense_index(events.withColumn("key", F.col("event_id") * 3 + 1), "key", StepStore(spark, "query")).select("key", "user_id", "idx")
 
 
 def _experiment_label(spark, sf):
@@ -559,7 +559,7 @@ def _own_sql() -> dict[str, str]:
         "standardize": f"SELECT {means}, {scales} FROM lineitem",
         "standardize_apply": f"SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS id, {z} FROM lineitem",
         "profile": "SELECT count(*) AS n_samples, CAST(8 AS INTEGER) AS n_features FROM lineitem",
-        "row_identity": "SELECT line_id, row_number() OVER (ORDER BY line_id) - 1 AS idx FROM (SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS line_id FROM lineitem)",
+        "row_identity": "SELECT event_id * 3 + 1 AS key, user_id, row_number() OVER (ORDER BY event_id) - 1 AS idx FROM events",
         "bounded_sample": "SELECT * FROM part ORDER BY md5('42|sample|' || CAST(p_partkey AS VARCHAR)), p_partkey LIMIT 499",
         "preview": "SELECT * FROM part ORDER BY p_partkey LIMIT 5",
         "experiment_label": "SELECT event_id, '/' || CASE WHEN event_type = 'view' THEN 'dev' ELSE event_type END || '/umap' AS label FROM events",

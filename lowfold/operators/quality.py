@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -99,80 +101,132 @@ def trustworthiness(
     return ranks.agg((1.0 - F.lit(scale) * excess).alias("trustworthiness"))
 
 
+#: Centroids that the driver and a task hold at once, about; more are looked at in slices.
+MOST_CENTROIDS = 8192
+
+
 def silhouette_rows(
-    embedding: DataFrame, clusters: DataFrame, steps: StepStore, block_rows: int = C.BLOCK_ROWS
+    embedding: DataFrame, clusters: DataFrame, steps: StepStore, block_rows: int = C.BLOCK_ROWS, share: float | None = None
 ) -> DataFrame:
     """``(cluster, y, copies, s)`` for each distinct position of each cluster.
 
-    Blocks of positions meet once per pair of blocks; what leaves a task is one
-    sum per position and cluster, never a pair of positions.
+    A mean distance to a cluster is at least the distance to its centroid. So a
+    position is first summed against its own cluster and the other one with the
+    nearest centroid, which gives a first ``b``, and then only against clusters
+    whose centroid is nearer than that. Clusters are parted into blocks; only
+    pairs of blocks that some position needs are built, and what leaves a task
+    is one sum per position and cluster. ``steps`` holds the pairs as
+    ``pairs``. With ``share`` only a drawn part of the positions is scored, each
+    still against all rows.
     """
     rows = embedding.join(clusters.select("id", "cluster"), "id")
     spots = rows.groupBy("cluster", "y").agg(F.count("*").alias("copies"))
     spots = steps.save(row_numbers(spots, steps), "spots")
-    blocks = max(1, math.ceil(spots.count() / block_rows))
-    block = (draw("pivot", 5, 0, F.col("id"), F.col("cluster")) % F.lit(blocks)).cast("int")
-    sizes = spots.groupBy("cluster").agg(F.sum("copies").alias("size"))
-    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    placed = spots.withColumn("block", block).withColumn("other", others)
-    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-    placed = placed.select(low, high, "block", "cluster", "id", "y", "copies")
-
-    def kernel(table: pa.Table) -> pa.Table:
-        side = table.column("block").to_numpy()
-        cluster = table.column("cluster").to_numpy()
-        y, copies = tiles.matrix(table.column("y")), table.column("copies").to_numpy()
-        ids = table.column("id").to_numpy()
-        marks = np.unique(side)
-        turns = [(marks[0], marks[0])] if len(marks) == 1 else [(marks[0], marks[1]), (marks[1], marks[0])]
-        if len(marks) == 1 and table.column("low")[0].as_py() != table.column("high")[0].as_py():
-            turns = []
-        out = []
-        for here, there in turns:
-            a = np.flatnonzero(side == here)
-            b = np.flatnonzero(side == there)
-            b = b[np.argsort(cluster[b], kind="stable")]
-            starts = np.flatnonzero(np.concatenate([[True], np.diff(cluster[b]) != 0]))
-            step = max(1, tiles.TILE_CELLS // len(b))
-            for s in range(0, len(a), step):
-                part = a[s : s + step]
-                tile = tiles.tile_distance(y[part], y[b], "euclidean", 2.0)
-                tile[part[:, None] == b[None, :]] = 0.0
-                sums = np.add.reduceat(tile * copies[b], starts, axis=1)
-                names = cluster[b][starts]
-                out.append(
-                    (
-                        np.repeat(ids[part], len(names)),
-                        np.repeat(cluster[part], len(names)),
-                        np.tile(names, len(part)),
-                        sums.ravel(),
-                    )
-                )
-        if not out:
-            out = [(np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0))]
-        got = [np.concatenate(part) for part in zip(*out)]
-        return pa.table(dict(zip(("id", "cluster", "to", "total"), got)))
-
-    sums = placed.groupBy("low", "high").applyInArrow(kernel, "id BIGINT, cluster INT, to INT, total DOUBLE")
-    sums = sums.groupBy("id", "cluster", "to").agg(F.sum("total").alias("total"))
-    sums = sums.join(sizes.withColumnRenamed("cluster", "to"), "to")
+    width = spots.select(F.size("y")).first()[0]
+    sums = [(F.sum(F.col("y")[i] * F.col("copies")) / F.sum("copies")).alias(f"c{i}") for i in range(width)]
+    sizes = spots.groupBy("cluster").agg(F.sum("copies").alias("size"), F.count("*").alias("n"), *sums)
+    sizes = sizes.withColumn("blocks", F.ceil(F.col("n") / block_rows).cast("int"))
+    sizes = steps.save(sizes, "sizes")
+    slices = math.ceil(sizes.count() / MOST_CENTROIDS)
+    part = (draw("pivot", 5, 0, F.col("id"), F.col("cluster")) % F.col("blocks")).cast("int").alias("part")
+    placed = spots.join(sizes.select("cluster", "blocks"), "cluster").select("id", "cluster", part, "blocks", "y", "copies")
+    placed = steps.save(placed, "placed")
+    scored = placed if share is None else placed.filter(draw("pivot", 6, 0, F.col("id"), F.col("cluster")) % 1_000_000 < int(share * 1_000_000))
+
+    def bounds(rows: DataFrame) -> DataFrame:
+        parts = [sizes.filter(F.pmod("cluster", F.lit(slices)) == k).orderBy("cluster").collect() for k in range(slices)]
+        return reduce(DataFrame.unionByName, [_bounds(rows, centres, width) for centres in parts if centres])
+
+    mine = scored.select("id", "cluster", "part", "y", F.col("cluster").alias("to"), F.col("blocks").alias("to_blocks"))
+    nearest = bounds(scored.select("id", "cluster", "part", "y", F.lit(None).cast("double").alias("best"), F.lit(None).cast("int").alias("known")))
+    if slices > 1:
+        least = F.min(F.struct("bound", "to", "to_blocks")).alias("m")
+        nearest = nearest.groupBy("id", "cluster", "part", "y").agg(least).select("id", "cluster", "part", "y", "m.to", "m.to_blocks", "m.bound")
+    found = _sums(mine.unionByName(nearest.drop("bound")), placed, steps)
+    mean = F.col("total") / F.col("size")
+    best = found.filter("cluster <> to").join(sizes.select(F.col("cluster").alias("to"), "size"), "to")
+    best = best.select("id", "cluster", mean.alias("best"), F.col("to").alias("known"))
+    later = bounds(scored.select("id", "cluster", "part", "y").join(best, ["id", "cluster"]))
+    found = found.unionByName(_sums(later.drop("bound"), placed, steps))
+    totals = found.join(sizes.select(F.col("cluster").alias("to"), "size"), "to")
     own = F.col("to") == F.col("cluster")
-    means = sums.groupBy("id", "cluster").agg(
+    means = totals.groupBy("id", "cluster").agg(
         F.max(F.when(own, F.col("size"))).alias("size"),
         F.max(F.when(own & (F.col("size") > 1), F.col("total") / (F.col("size") - 1))).alias("a"),
-        F.min(F.when(~own, F.col("total") / F.col("size"))).alias("b"),
+        F.min(F.when(~own, mean)).alias("b"),
     )
     widest = F.greatest("a", "b")
     s = F.when((F.col("size") == 1) | (widest == 0), 0.0).otherwise((F.col("b") - F.col("a")) / widest)
     return spots.join(means.select("id", "cluster", s.alias("s")), ["id", "cluster"])
 
 
+def _bounds(rows: DataFrame, centres: list, width: int) -> DataFrame:
+    """``(id, cluster, part, y, to, to_blocks, bound)`` for ``rows(id, cluster, part, y, best, known)``.
+
+    Of the clusters in ``centres`` these are, but for a row's own, the one with
+    the nearest centroid where there is no ``best``, and otherwise all whose
+    centroid is as near as that, but for ``known``.
+    """
+    names = np.array([c["cluster"] for c in centres], np.int32)
+    blocks = np.array([c["blocks"] for c in centres], np.int32)
+    middle = np.array([[c[f"c{i}"] for i in range(width)] for c in centres], float)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y = tiles.matrix(batch.column("y"))
+            own, known = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("cluster", "known"))
+            best = batch.column("best").to_numpy(zero_copy_only=False).astype(float)
+            step = max(1, tiles.TILE_CELLS // len(names))
+            for s in range(0, len(y), step):
+                part = slice(s, s + step)
+                bound = tiles.tile_distance(y[part], middle, "euclidean", 2.0)
+                bound[(own[part, None] == names) | (known[part, None] == names)] = np.inf
+                first = np.isnan(best[part])
+                # A hair more than the bound, for what rounding may add to either.
+                wanted = bound <= best[part, None] * (1 + 1e-9) + 1e-12
+                wanted[np.arange(len(bound)), bound.argmin(1)] |= first
+                i, j = np.nonzero(wanted & np.isfinite(bound))
+                columns = [batch.column(c).take(pa.array(i + s)) for c in ("id", "cluster", "part", "y")]
+                columns += [pa.array(names[j]), pa.array(blocks[j]), pa.array(bound[i, j])]
+                yield pa.record_batch(columns, names=["id", "cluster", "part", "y", "to", "to_blocks", "bound"])
+
+    return rows.mapInArrow(find, "id BIGINT, cluster INT, part INT, y ARRAY<DOUBLE>, `to` INT, to_blocks INT, bound DOUBLE")
+
+
+def _sums(needs: DataFrame, placed: DataFrame, steps: StepStore) -> DataFrame:
+    """``(id, cluster, to, total)``: summed distances to the cluster ``to``, by pairs of blocks."""
+    needs = steps.save(needs.withColumn("to_part", F.explode(F.sequence(F.lit(0), F.col("to_blocks") - 1))).drop("to_blocks"), "needs")
+    key = ["cluster", "part", "to", "to_part"]
+    pairs = steps.save(needs.select(*key).distinct(), "pairs")
+    there = placed.select(F.col("id").alias("other"), F.col("cluster").alias("to"), F.col("part").alias("to_part"), F.col("y").alias("at"), "copies")
+
+    def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not right.num_rows:  # a part that the draw left empty
+            return left.select(["id", "cluster", "to"]).append_column("total", pa.array(np.zeros(left.num_rows)))
+        a, b, copies = tiles.matrix(left.column("y")), tiles.matrix(right.column("at")), right.column("copies").to_numpy()
+        ids, others = left.column("id").to_numpy(), right.column("other").to_numpy()
+        total = np.empty(len(a))
+        step = max(1, tiles.TILE_CELLS // max(1, len(b)))
+        for s in range(0, len(a), step):
+            tile = tiles.tile_distance(a[s : s + step], b, "euclidean", 2.0)
+            tile[ids[s : s + step, None] == others] = 0.0
+            total[s : s + step] = tile @ copies
+        return pa.table({"id": left.column("id"), "cluster": left.column("cluster"), "to": left.column("to"), "total": pa.array(total)})
+
+    met = needs.groupBy(*key).cogroup(there.join(pairs, ["to", "to_part"]).groupBy(*key))
+    out = met.applyInArrow(kernel, "id BIGINT, cluster INT, `to` INT, total DOUBLE")
+    return steps.save(out.groupBy("id", "cluster", "to").agg(F.sum("total").alias("total")), "totals")
+
+
 def silhouette(
-    embedding: DataFrame, clusters: DataFrame, exclude_noise: bool = False, block_rows: int = C.BLOCK_ROWS
+    embedding: DataFrame, clusters: DataFrame, exclude_noise: bool = False, block_rows: int = C.BLOCK_ROWS, share: float | None = None
 ) -> DataFrame:
     """One row ``silhouette``, null with fewer than two clusters.
 
-    Noise (-1) counts as a cluster unless ``exclude_noise``.
+    Noise (-1) counts as a cluster unless ``exclude_noise``. ``share``, off by
+    default, scores only so large a drawn part of the positions, each against
+    all rows: an estimate for tables whose clusters are too large to sum whole;
+    null where nothing is drawn.
     """
     spark = embedding.sparkSession
     steps = StepStore(spark, "silhouette")
@@ -183,7 +237,7 @@ def silhouette(
         return spark.createDataFrame([(None,)], "silhouette DOUBLE")
     clean_points(embedding.select("id", F.col("y").alias("features")))
     unique_keys(clusters, "id")
-    rows = silhouette_rows(embedding.select("id", "y"), clusters, steps, block_rows)
+    rows = silhouette_rows(embedding.select("id", "y"), clusters, steps, block_rows, share)
     return rows.agg((F.sum(F.col("s") * F.col("copies")) / F.sum("copies")).alias("silhouette"))
 
 

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 from helpers import embedding, gaps, points
@@ -6,8 +8,10 @@ from pyspark.sql import functions as F
 from lowfold.operators.clustering import cluster
 from lowfold.operators.components import components
 from lowfold.operators.density import core_distances, hdbscan, select_clusters, spanning_tree
+from lowfold.operators import quality
 from lowfold.operators.quality import silhouette, trustworthiness
 from lowfold.session import StepStore
+from lowfold.session import StepStore
 
 RNG = np.random.default_rng(1)
 SPOTS = np.concatenate(
@@ -184,3 +188,33 @@ def test_silhouette(spark, block_rows):
 def test_silhouette_needs_two_clusters(spark):
     one = embedding(spark, SPOTS).select("id", F.lit(0).alias("cluster"))
     assert silhouette(embedding(spark, SPOTS), one).first()[0] is None
+
+
+def _blobs(k, n, gap):
+    """``k`` clusters of ``n`` rows on a grid with the given gap."""
+    rng = np.random.default_rng(8)
+    middles = np.array([(i % 5 * gap, i // 5 * gap) for i in range(k)])
+    return (middles[:, None] + rng.normal(size=(k, n, 2))).reshape(-1, 2), np.repeat(np.arange(k), n)
+
+
+@pytest.mark.parametrize("gap", [0.5, 3.0, 40.0])
+@pytest.mark.parametrize("centroids", [4, 8192])
+def test_silhouette_sums_only_clusters_within_reach(spark, monkeypatch, gap, centroids):
+    monkeypatch.setattr(quality, "MOST_CENTROIDS", centroids)
+    y, labels = _blobs(30, 20, gap)
+    clusters = spark.createDataFrame([(i, int(c)) for i, c in enumerate(labels)], "id BIGINT, cluster INT")
+    steps = StepStore(spark, "blobs")
+    rows = quality.silhouette_rows(embedding(spark, y), clusters, steps, block_rows=5)
+    got = rows.toPandas()
+    assert (got.s * got.copies).sum() / got.copies.sum() == pytest.approx(brute_silhouette(y, labels), abs=1e-9)
+    built = sum(spark.read.parquet(str(p)).count() for p in Path(steps.root).glob("*-pairs"))
+    if gap == 40.0:  # each of 120 blocks meets the 4 blocks of its own cluster and those of its neighbours
+        assert built < 0.1 * 120 * 120
+
+
+def test_silhouette_of_a_drawn_share(spark):
+    y, labels = _blobs(6, 200, 6.0)
+    clusters = spark.createDataFrame([(i, int(c)) for i, c in enumerate(labels)], "id BIGINT, cluster INT")
+    got = silhouette(embedding(spark, y), clusters, share=0.3).first()[0]
+    assert got == pytest.approx(brute_silhouette(y, labels), abs=0.03)
+    assert silhouette(embedding(spark, y), clusters, share=0.0).first()[0] is None
