@@ -191,9 +191,9 @@ def test_silhouette_needs_two_clusters(spark):
 
 
 def _blobs(k, n, gap):
-    """``k`` clusters of ``n`` rows on a grid with the given gap."""
+    """``k`` clusters of ``n`` rows along a line, farther apart the farther out."""
     rng = np.random.default_rng(8)
-    middles = np.array([(i % 5 * gap, i // 5 * gap) for i in range(k)])
+    middles = np.array([(i**1.5 * gap, 0.0) for i in range(k)])
     return (middles[:, None] + rng.normal(size=(k, n, 2))).reshape(-1, 2), np.repeat(np.arange(k), n)
 
 
@@ -208,7 +208,7 @@ def test_silhouette_sums_only_clusters_within_reach(spark, monkeypatch, gap, cen
     got = rows.toPandas()
     assert (got.s * got.copies).sum() / got.copies.sum() == pytest.approx(brute_silhouette(y, labels), abs=1e-9)
     built = sum(spark.read.parquet(str(p)).count() for p in Path(steps.root).glob("*-pairs"))
-    if gap == 40.0:  # each of 120 blocks meets the 4 blocks of its own cluster and those of its neighbours
+    if gap == 40.0:  # each of 120 blocks meets the 4 blocks of its own cluster and those of the nearest
         assert built < 0.1 * 120 * 120
 
 
