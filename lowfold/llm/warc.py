@@ -66,6 +66,21 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[: int(fields["Content-Length"])]
 
 
+def frame_end(data: bytes, at: int) -> int:
+    """Where the frame at ``at`` ends, from the sizes in its block headers; nothing is decompressed or copied."""
+    import zstandard
+
+    head = data[at : at + 18]
+    checked = head[4] & 4
+    at += zstandard.frame_header_size(head)
+    last = False
+    while not last:
+        block = int.from_bytes(data[at : at + 3], "little")
+        last = bool(block & 1)
+        at += 3 + (1 if block >> 1 & 3 == 1 else block >> 3)  # a run of one byte stores that byte
+    return at + (4 if checked else 0)
+
+
 def frames(data: bytes) -> Iterator[bytes]:
     """The records of one archive. The dictionary is the archive's own first frame."""
     import zstandard
@@ -81,9 +96,9 @@ def frames(data: bytes) -> Iterator[bytes]:
         if number & 0xFFFFFFF0 == 0x184D2A50:
             at += 8 + struct.unpack_from("<I", data, at + 4)[0]
             continue
-        one = reader.decompressobj()
-        yield one.decompress(view[at:])
-        at = len(data) - len(one.unused_data)
+        end = frame_end(data, at)
+        yield reader.decompressobj().decompress(view[at:end])
+        at = end
 
 
 def _keyed(pages: DataFrame) -> DataFrame:

@@ -63,3 +63,24 @@ def test_the_dictionary_helps(spark, tmp_path):
 def test_no_pages(spark, tmp_path):
     warc.archive(spark.createDataFrame([], SCHEMA), str(tmp_path / "w"))
     assert warc.read(spark, str(tmp_path / "w")).count() == 0
+
+
+def test_large_archives_are_read_in_linear_time():
+    """Frames are found by their headers, so four times the records take about four times as long."""
+    import random
+    import time
+
+    import zstandard
+
+    draw = random.Random(2)
+    bodies = [b"", b"a" * 300_000, bytes(draw.randrange(256) for _ in range(200_000))] + [b"record %d " % k * (k % 50) for k in range(2000)]
+    packers = [zstandard.ZstdCompressor(write_checksum=c, write_content_size=c) for c in (False, True)]
+    data = warc.dictionary_frame(b"") + b"".join(packers[k % 2].compress(b) + warc.SEPARATOR.encode() for k, b in enumerate(bodies))
+    assert list(warc.frames(data)) == bodies
+    small = packers[0].compress(b"one record of some length " * 20) + warc.SEPARATOR.encode()
+    spent = []
+    for n in (10_000, 40_000):
+        start = time.process_time()
+        assert sum(1 for _ in warc.frames(warc.dictionary_frame(b"") + small * n)) == n
+        spent.append(time.process_time() - start)
+    assert spent[1] < 12 * spent[0] + 0.5
