@@ -11,9 +11,15 @@ from lowfold.operators.prepare import check_input, numeric_select
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """A CSV table with a header; give a schema to save the pass that infers one."""
+    """A CSV table with a header; give a schema to save the pass that infers one.
+
+    The header has to name the columns of the schema in their order, and a value
+    that does not fit its type is an error when it is read.
+    """
     reader = spark.read.option("header", True)
-    return reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", True).csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    return reader.option("enforceSchema", False).option("mode", "FAILFAST").schema(schema).csv(path)
 
 
 def read_features(

@@ -142,3 +142,10 @@ def test_stream_equals_batch(spark, tmp_path):
     got = spark.read.parquet(out).orderBy("window_start", "endpoint").toPandas()
     want = requests.windowed_rollup(log).orderBy("window_start", "endpoint").toPandas()
     assert len(want) == 8 and got[want.columns].equals(want)
+
+
+def test_csv_that_does_not_fit_its_schema_is_refused(spark, tmp_path):
+    for name, text in (("order", "b,a,c\n1,2,3\n"), ("value", "a,b,c\n1,x,3\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+        with pytest.raises(Exception, match="(?i)header|malformed|csv"):
+            tables.read_csv(spark, str(tmp_path / f"{name}.csv"), "a INT, b INT, c INT").collect()
