@@ -270,6 +270,18 @@ def _core(spark, sf):
     return _six(density.core_distances(_points(spark, sf), 5), "core")
 
 
+def _chain(spark, sf):
+    """Parts as clusters: those with even keys in one chain, each before it with a leaf of its own."""
+    part, key = _table(spark, sf, "part"), F.col("p_partkey").cast("long")
+    odd, top = key % 2 == 1, F.max("p_partkey")
+    rows = part.crossJoin(F.broadcast(part.agg(top.alias("top")))).select(key.alias("cluster"), F.when(odd, key + 1).otherwise(key + 2).alias("parent"), F.when(odd, F.col("p_size")).otherwise(F.col("p_size") * F.expr("p_partkey div 2")).cast("double").alias("stability"), "top")
+    return rows.select("cluster", F.when(F.col("parent") <= F.col("top"), F.col("parent")).alias("parent"), "stability")
+
+
+def _choice(spark, sf):
+    return density.select_clusters(_chain(spark, sf), StepStore(spark, "query"), limit=0)
+
+
 def _mutual(spark, sf):
     core = density.core_distances(_points(spark, sf), 5)
     return _six(density.mutual_reachability(_knn(spark, sf), core), "w")
@@ -414,6 +426,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mutual_reachability": _mutual,
         "spanning_tree": _mst,
         "kmeans": lambda s, d: clustering.cluster(_whole(s, d), "KMeans", 10),
+        "cluster_choice": _choice,
         "hdbscan": lambda s, d: clustering.cluster(_whole(s, d), "HDBSCAN", 5),
         "knn_exact_blocks": lambda s, d: _six(knn.knn_self(_points(s, d), K, block_rows=SMALL).withColumn("rank", F.col("rank").cast("int")).select("id", "nbr", "dist", "rank"), "dist"),
         "layout_epochs_blocks": _layout_epochs(2, SMALL),
@@ -639,6 +652,14 @@ def _own_sql() -> dict[str, str]:
         ),
         "enough_clusters": "SELECT count(DISTINCT label) >= 2 AS enough FROM embeddings",
         "core_distance": _with(core, "SELECT id, round(core, 6) + 0.0 AS core FROM c"),
+        "cluster_choice": """
+            WITH RECURSIVE c AS (SELECT CAST(p_partkey AS BIGINT) AS k, CAST(p_size AS BIGINT) AS s, max(p_partkey) OVER () AS top FROM part),
+              e AS (SELECT e.k, e.s * (e.k // 2) AS own, coalesce(o.s, 0) AS leaf, e.top FROM c e LEFT JOIN c o ON o.k = e.k - 1 WHERE e.k % 2 = 0),
+              r AS (SELECT k, leaf AS below, CASE WHEN k + 2 > top THEN leaf ELSE greatest(own, leaf) END AS value FROM e WHERE k = 2
+                UNION ALL SELECT e.k, e.leaf + r.value, CASE WHEN e.k + 2 > e.top THEN e.leaf + r.value ELSE greatest(e.own, e.leaf + r.value) END
+                FROM r JOIN e ON e.k = r.k + 2),
+              h AS (SELECT coalesce(max(r.k), 0) AS k FROM r JOIN e USING (k) WHERE e.k + 2 <= e.top AND e.own >= r.below)
+            SELECT c.k AS cluster, CASE WHEN c.k <= h.k THEN h.k WHEN c.k % 2 = 1 AND c.k < c.top THEN c.k END AS label FROM c, h""",
         "mutual_reachability": _with(
             core, f"SELECT k.id AS i, k.nbr AS j, {_r('greatest(k.dist, a.core, b.core)', 'w')} FROM k JOIN c a ON a.id = k.id JOIN c b ON b.id = k.nbr"
         ),

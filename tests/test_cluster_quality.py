@@ -121,6 +121,48 @@ def test_selection_by_joins_equals_one_group(spark):
     assert one == many and any(v is not None for v in one.values())
 
 
+def _chosen(spark, parents, stability, limit):
+    rows = [(c, p, float(v)) for c, (p, v) in enumerate(zip(parents, stability, strict=True))]
+    table = spark.createDataFrame(rows, "cluster BIGINT, parent BIGINT, stability DOUBLE")
+    store = StepStore(spark, "t")
+    got = {r.cluster: r.label for r in select_clusters(table, store, limit).collect()}
+    assert len(got) == len(rows)
+    return got, store._count
+
+
+@pytest.mark.parametrize("shape", ["chain", "star", "random", "two_arms", "alone"])
+def test_contraction_equals_one_group(spark, shape):
+    rng, n = np.random.default_rng(3), 1 if shape == "alone" else 240
+    parents = {
+        "chain": [c + 1 for c in range(n - 1)],
+        "star": [n - 1] * (n - 1),
+        "random": [int(rng.integers(c + 1, min(n, c + 9))) for c in range(n - 1)],
+        "two_arms": [min(c + 2, n - 1) for c in range(n - 1)],
+        "alone": [],
+    }[shape] + [None]
+    stability = rng.integers(0, 40, n) * rng.integers(0, 40, n)  # whole numbers, so that ties are ties in any order of sums
+    one, _ = _chosen(spark, parents, stability, n)
+    many, _ = _chosen(spark, parents, stability, 0)
+    assert one == many
+
+
+def test_contraction_takes_endless_stability(spark):
+    parents, stability = [4, 4, 5, 5, 6, 6, None], [float("inf"), 2, 3, 4, float("inf"), 8, 0]
+    assert _chosen(spark, parents, stability, 7)[0] == _chosen(spark, parents, stability, 0)[0]
+
+
+def test_a_long_chain_takes_few_rounds(spark):
+    n, rng = 5000, np.random.default_rng(5)
+    # Even clusters form the chain, each with a leaf of its own before it.
+    parents = [c + 1 if c % 2 == 0 else c + 2 for c in range(2 * n - 1)]
+    parents = [p if p < 2 * n - 1 else None for p in parents]
+    stability = rng.integers(1, 50, 2 * n - 1) * np.where(np.arange(2 * n - 1) % 2, np.arange(1, 2 * n), 1)
+    one, _ = _chosen(spark, parents, stability, 2 * n)
+    many, written = _chosen(spark, parents, stability, 0)
+    assert one == many and len(set(one.values())) > 20
+    assert written < 40  # one a round of contraction and one a round of doubling
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(0, 40) if i % 10 != 9] + [(100, 5)]
     got = components(spark.createDataFrame(pairs, "a BIGINT, b BIGINT"), StepStore(spark, "t")).toPandas()
