@@ -85,7 +85,7 @@ def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
             yield pa.record_batch([*batch.columns[:3], pa.array([len(s) for s in found], pa.int64()), pa.array([_key(s) for s in found], pa.binary()), head], names=["doc_id", "name", "mark", "n", "key", "head"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "name", "mark", "text").mapInArrow(read, f"doc_id {kind}, name string, mark binary, n long, key binary, head array<long>")
+    return docs.select("doc_id", "name", "mark", "text").mapInArrow(read, f"doc_id {kind}, name long, mark binary, n long, key binary, head array<long>")
 
 
 def _fetch(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -112,7 +112,8 @@ class _Join:
         self.spark, self.size, self.percent = docs.sparkSession, size, percent
         small_batches(self.spark)
         self.store = steps(self.spark, label)
-        name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+        # Ids may repeat or be null, so a row is fetched by its id and text; a chance collision fetches a row too many, which its key tells.
+        name = F.xxhash64("doc_id", "text")
         mark = _mark(F.col("text")) if marked else F.lit(None).cast("binary")
         self.docs = docs.select("doc_id", "text").withColumn("name", name).withColumn("mark", mark)
 

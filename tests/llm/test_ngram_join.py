@@ -99,3 +99,12 @@ def test_joins_agree_beyond_the_broadcast_size(spark, monkeypatch):
     docs = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")
     got = {r.doc_id: (r.n, r.component_id) for r in ngram_join.near_copies(docs).collect()}
     assert got == brute(texts, 4, 85)
+
+
+def test_many_texts_under_one_id(spark):
+    """Rows without id, or with the same one, are fetched by their texts, so 6,000 of them never meet each other."""
+    rows = [(None if k < 1500 else 1, t) for k in range(3000) for t in (prose(k, 40), prose(k, 40) + " more")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(5)
+    left = [tuple(r) for r in ngram_join.one_of_each(docs).collect()]
+    assert len(left) == 3000 and len({t.removesuffix(" more") for _, t in left}) == 3000
+    assert {r.component_id for r in ngram_join.near_copies(docs).collect()} == {None, 1}
