@@ -4,7 +4,10 @@ Each document that passes the floors becomes a vector of transformed text
 statistics. Minimum-covariance-determinant estimates of centre and spread,
 one for each language and source, come from concentration steps: the rows
 are aggregated by bin of distance, and the nearest three quarters give the
-next estimate. A document far from its group's centre is rejected.
+next estimate. Each group starts from its medians, from its means and from the
+rows near its medians by rank, runs until its determinants stand still, and
+keeps the estimate of least determinant. A document far from its group's
+centre is rejected.
 """
 
 from __future__ import annotations
@@ -21,10 +24,12 @@ from .util import small_batches, steps, with_small
 
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
-#: Share of a group that the estimate rests on, concentration steps, rows a group needs for an estimate of its own.
-KEEP, ROUNDS, MIN_ROWS = 0.75, 4, 200
-#: Smallest standard deviation each statistic is taken to have, so that a constant statistic rejects nobody over a trifle.
-FLOORS = (0.12, 0.045, 0.3, 0.25, 0.2)
+#: Share of a group that the estimate rests on, most concentration steps, rows a group needs for an estimate of its own.
+KEEP, ROUNDS, MIN_ROWS = 0.75, 12, 200
+#: Steps end where no group's best determinant falls by more than this share.
+STILL = 1e-3
+#: Least standard deviation in any direction, in units of FLOORS: a smaller one is lifted to it, a larger one left alone.
+FLOORS = (0.12, 0.045, 0.2, 0.12, 0.16)
 #: Tail of the chi-square distribution beyond which a document is rejected.
 TAIL = 1e-5
 DIM = len(FLOORS)
@@ -127,7 +132,7 @@ def chi_square(p: float, dim: int) -> float:
 
 X = [f"x{i}" for i in range(DIM)]
 PAIRS = [(i, j) for i in range(DIM) for j in range(i, DIM)]
-FIT = "grp string, centre array<double>, precision array<double>, stretch double"
+FIT = "grp string, start int, centre array<double>, precision array<double>, stretch double, size double"
 
 
 def _distance() -> Column:
@@ -138,24 +143,37 @@ def _distance() -> Column:
     return F.greatest(total, F.lit(0.0))
 
 
-def _row(grp: str, centre: np.ndarray, spread: np.ndarray, stretch: float) -> pd.DataFrame:
-    precision = np.linalg.inv(spread + np.diag(np.square(FLOORS)))
-    return pd.DataFrame({"grp": [grp], "centre": [centre.tolist()], "precision": [precision.ravel().tolist()], "stretch": [stretch]})
+def lifted(spread: np.ndarray) -> np.ndarray:
+    """``spread`` with its variances along its own axes, in units of ``FLOORS``, lifted to 1 where they are less."""
+    unit = np.array(FLOORS)
+    values, axes = np.linalg.eigh(spread / np.outer(unit, unit))
+    return (axes * np.maximum(values, 1.0)) @ axes.T * np.outer(unit, unit)
 
 
-def _start(key: tuple, bins: pd.DataFrame) -> pd.DataFrame:
-    """Medians and spreads of the statistics, one by one."""
-    centre, spread = np.zeros(DIM), np.zeros(DIM)
+def _row(grp: str, start: int, centre: np.ndarray, spread: np.ndarray, stretch: float) -> pd.DataFrame:
+    """One estimate; ``size`` is the logarithm of its determinant."""
+    spread = lifted(spread)
+    size = float(np.linalg.slogdet(spread)[1])
+    precision = np.linalg.inv(spread).ravel().tolist()
+    return pd.DataFrame({"grp": [grp], "start": [start], "centre": [centre.tolist()], "precision": [precision], "stretch": [stretch], "size": [size]})
+
+
+def _starts(key: tuple, bins: pd.DataFrame) -> pd.DataFrame:
+    """Medians and their spreads, means and variances, and means and variances of each statistic's middle half."""
+    centre, spread = np.zeros((3, DIM)), np.zeros((3, DIM))
     for i, part in bins.groupby("dim"):
+        part = part.sort_values("bin")
         value, n = part["bin"].to_numpy() / 128.0, part["n"].to_numpy(float)
 
         def median(v: np.ndarray, n: np.ndarray = n) -> float:
             order = np.argsort(v, kind="stable")
             return v[order][np.searchsorted(n[order].cumsum(), n.sum() / 2)]
 
-        centre[i] = median(value)
-        spread[i] = (1.4826 * median(np.abs(value - centre[i]))) ** 2
-    return _row(key[0], centre, np.diag(spread), 1.0)
+        upto = n.cumsum()
+        middle = np.clip(np.minimum(upto, 0.75 * upto[-1]) - np.maximum(upto - n, 0.25 * upto[-1]), 0, None)
+        centre[:, i] = median(value), np.average(value, weights=n), np.average(value, weights=middle)
+        spread[:, i] = (1.4826 * median(np.abs(value - centre[0, i]))) ** 2, np.average((value - centre[1, i]) ** 2, weights=n), np.average((value - centre[2, i]) ** 2, weights=middle)
+    return pd.concat([_row(key[0], k, centre[k], np.diag(spread[k]), 1.0) for k in range(3)])
 
 
 def _concentrate(key: tuple, bins: pd.DataFrame) -> pd.DataFrame:
@@ -171,7 +189,7 @@ def _concentrate(key: tuple, bins: pd.DataFrame) -> pd.DataFrame:
         spread[i, j] = spread[j, i] = near[f"q{i}_{j}"].sum() / n - centre[i] * centre[j]
     # The nearest rows are less spread than all: what they lack is read off the distance at which they end.
     reach = math.expm1(float(bins["bin"].iloc[end] + 1) / 32)
-    return _row(key[0], centre, spread, max(1.0, reach / chi_square(1 - KEEP, DIM)))
+    return _row(key[0], int(key[1]), centre, spread, max(1.0, reach / chi_square(1 - KEEP, DIM)))
 
 
 def _group(spark_rows: DataFrame) -> DataFrame:
@@ -194,14 +212,22 @@ def fit(stats: DataFrame, label: str = "quality") -> tuple[DataFrame, DataFrame]
     n_groups = groups.count()
     rows = store.save(_with_group(sound, groups, n_groups, "grp").select("grp", *X), "grouped")
     melted = rows.select("grp", F.posexplode(F.array(*X)).alias("dim", "x")).withColumn("bin", F.round(F.col("x") * 128).cast("long"))
-    found = melted.groupBy("grp", "dim", "bin").agg(F.count(F.lit(1)).alias("n")).groupBy("grp").applyInPandas(_start, FIT)
+    found = melted.groupBy("grp", "dim", "bin").agg(F.count(F.lit(1)).alias("n")).groupBy("grp").applyInPandas(_starts, FIT)
     found = store.save(found, "start")
     for k in range(ROUNDS):
-        placed = with_small(rows, found, ["grp"], rows=n_groups).withColumn("bin", F.floor(F.log1p(_distance()) * 32))
+        before = found.groupBy("grp").agg(F.collect_list(F.struct("start", "centre", "precision")).alias("fits"))
+        placed = with_small(rows, before, ["grp"], rows=n_groups).select("grp", *X, F.explode("fits").alias("fit")).select("grp", *X, "fit.*")
+        placed = placed.withColumn("bin", F.floor(F.log1p(_distance()) * 32))
         sums = [F.sum(x).alias(f"s{i}") for i, x in enumerate(X)] + [F.sum(F.col(X[i]) * F.col(X[j])).alias(f"q{i}_{j}") for i, j in PAIRS]
-        bins = placed.groupBy("grp", "bin").agg(F.count(F.lit(1)).alias("n"), *sums)
-        found = store.save(bins.groupBy("grp").applyInPandas(_concentrate, FIT), f"fit{k}")
-    return groups, found
+        bins = placed.groupBy("grp", "start", "bin").agg(F.count(F.lit(1)).alias("n"), *sums)
+        new = store.save(bins.groupBy("grp", "start").applyInPandas(_concentrate, FIT), f"fit{k}")
+        least = found.groupBy("grp").agg(F.min("size").alias("was")).join(new.groupBy("grp").agg(F.min("size").alias("size")), "grp")
+        found = new
+        # The starts' own determinants are of all rows, so the first step compares with nothing.
+        if k and not least.filter(F.abs(F.col("was") - F.col("size")) > STILL).limit(1).count():
+            break
+    best = found.groupBy("grp").agg(F.min_by(F.struct("centre", "precision", "stretch"), F.struct("size", "start")).alias("fit"))
+    return groups, store.save(best.select("grp", "fit.*"), "least")
 
 
 def _with_group(rows: DataFrame, groups: DataFrame, n_groups: int, name: str) -> DataFrame:
