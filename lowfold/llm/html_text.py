@@ -1,11 +1,14 @@
 """Main text of web pages by composite text density.
 
-A page becomes a tree. Parts that say what they are (menus, forms, adverts,
-comments and the like) go. Every node left has a density: its characters per
-tag, adjusted for how many of them stand in links. The densities of a node's
-children are summed, and the node with the largest sum holds the article. On
-its path to the body, neighbours at least as dense as the thinnest node of the
-path belong to it as well.
+A page becomes a tree. Parts whose element or whole name says what they are
+(menus, adverts, comments and the like) go; a name that only holds such a word
+is a hint, which the part's links, fields or thin text must confirm. Every node
+left has a density: its characters per tag, adjusted for how many of them stand
+in links. The densities of a node's children are summed, and the node with the
+largest sum holds the article. On its path to the body, neighbours at least as
+dense as the thinnest node of the path belong to it as well, and so does a
+heading right before a part that does. The path ends at an ``<article>``, which
+is whole but for parts that are thinner than the path and mostly links.
 """
 
 from __future__ import annotations
@@ -22,12 +25,14 @@ from .util import small_batches
 # Elements of HTML by what they do to text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noframes xmp".split())
-DROPPED = frozenset("head script style noscript template iframe object embed svg math canvas audio video map nav footer aside form button select option input textarea label fieldset menu dialog title noframes xmp datalist".split())
+DROPPED = frozenset("head script style noscript template iframe object embed svg math canvas audio video map nav footer aside button select option input textarea label fieldset menu dialog title noframes xmp datalist".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROOTS = ("article", "main")
-#: With two links or more and four fifths of their characters in links, these are menus.
+#: With two links or more and four fifths of their characters in links, these are menus if their links are short.
 LISTS = frozenset(("ul", "ol", "div", "p", "table", "section", "dl"))
+#: Characters of a link, on average, from which a list of links is one of titles; a paragraph of links is a menu from three on.
+TITLE = 20
 CONTAINERS = frozenset(("article", "main", "section", "div", "body", "html", "td", "center", "blockquote", "details"))
 #: A start tag ends an open element of these, up to the nearest of the second set.
 IMPLIED = {
@@ -38,17 +43,29 @@ IMPLIED = {
 #: A paragraph ends where one of these begins, and does not reach beyond one of the second set.
 ENDS_P = BLOCKS - frozenset(("body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "legend", "summary"))
 P_SCOPE = frozenset(("td", "th", "table", "button", "caption", "object", "html"))
-#: Words of class, id and role that name a part to drop, and those that do so on an article too.
+# Words of class, id and role that name a part to drop, those that do so on an article and a heading
+# too, and words that may stand beside them in a name.
 NOT_TEXT = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promoted promotion cookie cookies consent gdpr notice notices alert toast sidebar sidebars rail "
     "menu menus nav navbar navigation navigational breadcrumb breadcrumbs toc footer masthead toolbar pagination pager share sharing social related recommended recommendations popup modal overlay "
     "newsletter subscribe subscription signup login search widget skip complementary contentinfo".split()
 )
-COMMENTS = frozenset("comment comments commentlist reply replies respond disqus discussion".split())
+COMMENTS = frozenset("comment comments commentlist reply replies respond disqus".split())
+HINTS = frozenset(("discussion",))
 HEADER = frozenset(("header", "topbar", "sitehead"))
-
-#: Quotes matter after an equals sign only; a value that never ends is read as plain characters.
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]{0,20000}+"|'[^']{0,20000}+')?+)*+)>""", re.S)
+BESIDE = frozenset(
+    "site page main primary secondary global top bottom left right upper lower mobile desktop sticky fixed inline footer header box boxes wrap wrapper container list lists block blocks bar area zone slot unit "
+    "item items link links button buttons icon icons inner outer panel form policy posts articles stories news section region group column col row title heading the by user users reader readers post to us out "
+    "media bottom google thread threads count message messages text sponsor label s".split()
+)
+BESIDE_COMMENTS = BESIDE | frozenset("content body author meta date avatar tree node entry card".split())
+FIELDS = frozenset(("input", "textarea", "select", "button"))
+#: A hint outside an article is confirmed by fewer characters a tag than this, on less than a quarter of the page.
+THIN = 60
+
+#: Quotes matter after an equals sign only; a value that never ends is read as plain characters. A closing quote is
+#: looked for in vain at most once a page and kind, since no such quote follows, so values of any length take linear time.
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""(?i)(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)(?=[\s=/]|$)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _HIDDEN = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
@@ -65,6 +82,8 @@ class Page:
         self.last: list[int] = [0]
         self.events: list[tuple[int, str | None]] = []  # a node and its text, None for the edge of a block
         self.inside: list[bool] = [False]  # an article
+        self.fields: list[int] = [0]  # of a form, right in the node
+        self.hinted: list[int] = []
         self.open: list[int] = [0]
         self.paragraphs = 0
         self._read(source)
@@ -93,31 +112,41 @@ class Page:
             if tag in scope:
                 return
 
-    def _unwanted(self, tag: str, attributes: str, inside: bool) -> bool:
+    def _unwanted(self, tag: str, attributes: str, inside: bool) -> bool | None:
+        """Whether a part goes; None where its name is but a hint."""
         if tag in DROPPED:
             return True
         if tag == "header":
             return not inside
         if not attributes or tag in ("html", "body"):
             return False
-        words: set[str] = set()
+        hint = False
         for name, *values in _ATTRIBUTE.findall(attributes):
             value = values[0] or values[1] or values[2]
             name = name.lower()
             if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and _HIDDEN.search(value)):
                 return True
-            if name in ("class", "id", "role"):
-                words.update(w.lower() for w in _CAMEL.split(value))
-        if words & COMMENTS:
-            return True
-        if tag in ROOTS or tag in HEADINGS:
-            return False
-        return bool(words & NOT_TEXT) or (not inside and bool(words & HEADER))
+            if name not in ("class", "id", "role"):
+                continue
+            for token in value.split():
+                words = {w.lower() for w in _CAMEL.split(token) if w}
+                if words & COMMENTS:
+                    if words <= COMMENTS | BESIDE_COMMENTS:
+                        return True
+                    hint = True
+                if tag in ROOTS or tag in HEADINGS:
+                    continue
+                named = words & NOT_TEXT or (not inside and words & HEADER)
+                if named and words <= NOT_TEXT | HEADER | BESIDE and not (name == "id" and inside):
+                    return True
+                hint = hint or bool(named or words & HINTS)
+        return None if hint and tag not in HEADINGS and tag not in ROOTS else False
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag == "br":
             self._text(" ")
             return
+        self.fields[self.open[-1]] += tag in FIELDS and "hidden" not in attributes
         if tag in VOID:
             if tag == "hr":
                 self.events.append((self.open[-1], None))
@@ -138,7 +167,11 @@ class Page:
         up = self.open[-1]
         self.tag.append(tag)
         self.parent.append(up)
-        self.gone.append(self.gone[up] or self._unwanted(tag, attributes, self.inside[up]))
+        unwanted = self._unwanted(tag, attributes, self.inside[up])
+        self.gone.append(self.gone[up] or bool(unwanted))
+        self.fields.append(0)
+        if unwanted is None or tag == "form":
+            self.hinted.append(len(self.tag) - 1)
         self.inside.append(self.inside[up] or tag in ROOTS)
         self.paragraphs += tag == "p"
         self.first.append(len(self.events))
@@ -221,17 +254,50 @@ def _count(page: Page) -> tuple[list[int], list[int], list[int], list[int]]:
     return chars, links, tags, anchors
 
 
-def _densities(page: Page) -> tuple[list[float], list[float], list[int], list[int]]:
-    """Density and sum of the children's densities of each node, and its characters, also those in links."""
+def _drop(page: Page, nodes: list[int]) -> None:
+    for i in nodes:
+        page.gone[i] = True
+    for i in range(1, len(page.tag) if nodes else 0):
+        page.gone[i] = page.gone[i] or page.gone[page.parent[i]]
+
+
+def _confirmed(page: Page) -> list[int]:
+    """Forms that are not the page's text, and parts whose names are hints that they confirm."""
+    if not page.hinted:
+        return []
+    chars, links, tags, _ = _count(page)
+    n = len(page.tag)
+    fields, paragraphs, heads = list(page.fields), [0] * n, [False] * n
+    for i in range(n - 1, 0, -1):
+        up = page.parent[i]
+        fields[up] += fields[i]
+        paragraphs[up] += paragraphs[i] + (page.tag[i] == "p")
+        heads[up] = heads[up] or heads[i] or page.tag[i] in ("h1", *ROOTS)
+    found = []
+    for i in page.hinted:
+        if page.tag[i] == "form" and not (heads[i] or (2 * chars[i] > chars[0] and paragraphs[i] > 1)):
+            found.append(i)
+        elif page.tag[i] != "form" and not heads[i]:
+            few = 4 * chars[i] < chars[0]
+            if 2 * chars[i] < chars[0] and (3 * links[i] >= chars[i] or fields[i]) or (few and not page.inside[i] and chars[i] < THIN * max(1, tags[i])):
+                found.append(i)
+    return found
+
+
+def _menus(page: Page) -> list[int]:
+    chars, links, _, anchors = _count(page)
+    found = []
+    for i in range(1, len(page.tag)):
+        if page.tag[i] in LISTS and anchors[i] > 1 and not page.gone[i] and 5 * links[i] >= 4 * chars[i]:
+            if links[i] < TITLE * anchors[i] and (page.tag[i] != "p" or (anchors[i] > 2 and not page.inside[i])):
+                found.append(i)
+    return found
+
+
+def _densities(page: Page) -> tuple[list[float], list[float], list[int], list[int], list[int]]:
+    """Density and sum of the children's densities of each node, its characters, also those in links, and its links."""
     n = len(page.tag)
     chars, links, tags, anchors = _count(page)
-    menus = [i for i in range(1, n) if page.tag[i] in LISTS and anchors[i] > 1 and not page.gone[i] and 5 * links[i] >= 4 * chars[i]]
-    if menus:
-        for i in menus:
-            page.gone[i] = True
-        for i in range(1, n):
-            page.gone[i] = page.gone[i] or page.gone[page.parent[i]]
-        chars, links, tags, anchors = _count(page)
     body = next((i for i, tag in enumerate(page.tag) if tag == "body"), 0)
     share = links[body] / max(1, chars[body])
     density, total = [0.0] * n, [0.0] * n
@@ -243,12 +309,14 @@ def _densities(page: Page) -> tuple[list[float], list[float], list[int], list[in
             density[i] = c / t * (math.log(inner) / math.log(base) if base > 1.0000001 else math.log(inner + 1.0)) if inner > 0 else 0.0
         if i and not page.gone[i]:
             total[page.parent[i]] += density[i]
-    return density, total, chars, links
+    return density, total, chars, links, anchors
 
 
 def _chosen(page: Page) -> list[tuple[int, int]]:
     """Stretches of events that hold the article."""
-    density, total, chars, links = _densities(page)
+    _drop(page, _confirmed(page))
+    _drop(page, _menus(page))
+    density, total, chars, links, anchors = _densities(page)
     best = max(range(len(page.tag)), key=lambda i: (total[i], chars[i], -i))
     if not chars[best]:
         best = max(range(len(page.tag)), key=lambda i: (chars[i], i))
@@ -259,18 +327,25 @@ def _chosen(page: Page) -> list[tuple[int, int]]:
     path = [best]
     while page.parent[path[-1]] >= 0:
         path.append(page.parent[path[-1]])
-    root = next((i for i in reversed(path) if page.tag[i] in ROOTS), None)
-    if root is not None:
-        return [(page.first[root], page.last[root])]
     body = next((k for k, i in enumerate(path) if page.tag[i] == "body"), len(path) - 1)
     least = min(density[i] for i in path[: body + 1])
+    article = next((k for k, i in enumerate(path) if page.tag[i] == "article"), None)
     on_path = set(path)
-    spans = [(page.first[best], page.last[best])]
-    for i in range(1, len(page.tag)):
-        beside = page.parent[i] in on_path and i not in on_path and page.parent[i] != best and chars[i] and not page.gone[i]
-        if beside and density[i] >= least and 2 * links[i] < chars[i]:
-            spans.append((page.first[i], page.last[i]))
-    return sorted(spans)
+    if article is not None:
+        best = path[article]
+        beside = [i for i in range(best + 1, len(page.tag)) if page.parent[i] in on_path and page.parent[i] >= best and i not in on_path]
+        _drop(page, [i for i in beside if page.tag[i] in LISTS and page.tag[i] != "p" and density[i] < least and 2 * links[i] >= chars[i] and 0 < links[i] < TITLE * anchors[i]])
+        return [(page.first[best], page.last[best])]
+    taken = {best}
+    after: dict[int, int] = {}  # the next node with text beside one of the path's, from the last one back
+    for i in range(len(page.tag) - 1, 0, -1):
+        up = page.parent[i]
+        if up not in on_path or up == best or not chars[i] or page.gone[i]:
+            continue
+        if i not in on_path and ((density[i] >= least and 2 * links[i] < chars[i]) or (page.tag[i] in HEADINGS and after.get(up) in taken | on_path)):
+            taken.add(i)
+        after[up] = i
+    return sorted((page.first[i], page.last[i]) for i in taken)
 
 
 def extract(source: str | None) -> str:
