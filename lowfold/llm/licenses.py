@@ -1,7 +1,9 @@
 """License scan: fixed phrases, and ordered signature rules behind a keyword prefilter.
 
-The rules are regular expressions made from templates: how licenses are named,
-granted and tagged, for each family and version. A text is first tried for the
+The rules are regular expressions: those written out in ``NOTICES``, and those
+made from templates: how licenses are named, granted and tagged, for each
+family and version. Words of a rule may stand apart by any run of white space
+and comment signs. A text is first tried for the
 keywords of any rule, then for the keyword of each rule, and only then for its
 expression. A detection inside another one of higher priority, or of the same
 priority and longer, is suppressed. Everything runs as expressions on the row.
@@ -73,11 +75,103 @@ GRANTS = {
     "cc0": ["CC0", "CC Zero", "No Rights Reserved"],
     "proprietary": ["All rights reserved", "(?:strictly )?confidential and proprietary", "may not be (?:copied|reproduced|redistributed) without"],
 }
+#: Acronyms that are also read in lower case or glued to their version, as in "gpl v3" and "LGPLv2.1".
+ACRONYMS = [("gpl", ["1", "2", "3"]), ("lgpl", ["2", "2.1", "3"]), ("agpl", ["1", "3"]), ("mpl", ["1.1", "2.0"]), ("epl", ["1.0", "2.0"]), ("eupl", ["1.1", "1.2"]), ("cddl", ["1.0", "1.1"]), ("gfdl", ["1.2", "1.3"])]
+
+# Wordings of notices and texts, as (label, wording, words that each match holds, priority).
+NOTICES = [
+    ("mit", "(?:licen[sc]ed|released|distributed|available|dual-licen[sc]ed) under(?: the| either| both| either the)? MIT", "under mit", 2),
+    ("mit", "(?:licen[sc]ed|released|distributed|available) under(?: the| either| both| either the) MIT", "mit", 2),
+    ("mit", "MIT or Apache", "mit or apache", 2),
+    ("mit", "MIT/Apache", "mit apache", 2),
+    ("mit", "MIT and Apache", "mit and apache", 2),
+    ("mit", "Apache(?:[ -]2(?:\\.0)?)? or MIT", "or mit", 2),
+    ("mit", "licen[sc]e: MIT", "mit", 2),
+    ("mit", "to deal in the Software without restriction,? including without limitation the rights to use,? copy,? modify,? merge,? publish", "to deal in the software without restriction", 2),
+    ("mit", "The above copyright notice and this permission notice(?: \\(including the next paragraph\\))? shall be included in all copies or substantial portions", "copies or substantial portions", 2),
+    ("mit", "THE SOFTWARE IS PROVIDED \"?AS IS\"?,? WITHOUT WARRANTY OF ANY KIND,? EXPRESS OR IMPLIED,? INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,? FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT", "and noninfringement", 2),
+    ("mit-0", "MIT No Attribution", "mit no attribution", 3),
+    ("x11", "Except as contained in this notice,? the name", "except as contained in this notice", 2),
+    ("apache-2.0", "Apache-2\\.0", "apache 2 0", 3),
+    ("apache-2.0", "Apache 2(?:\\.0)? licen[sc]e", "apache 2", 3),
+    ("apache-2.0", "Apache v2(?:\\.0)?", "apache v2", 3),
+    ("apache-2.0", "Apache Licen[sc]e,? 2(?:\\.0)?", "apache licen", 3),
+    ("apache-2.0", "ASL[ -]?2(?:\\.0)?", "asl 2", 3),
+    ("apache-2.0", "www\\.apache\\.org/licenses/LICENSE-2\\.0", "apache org licenses license 2 0", 4),
+    ("apache-1.1", "This product includes software developed by the Apache Software Foundation", "developed by the apache software foundation", 2),
+    ("apache", "licen[sc]ed to the Apache Software Foundation \\(?ASF\\)? under one or more contributor licen[sc]e agreements", "to the apache software foundation", 2),
+    ("gpl-2-or-later", "GNU General Public Licen[sc]e as published by the Free Software Foundation[;,.:]? either version 2 of the Licen[sc]e,? or \\(?at your option\\)? any later version", "either version 2 of the", 4),
+    ("gpl-3-or-later", "GNU General Public Licen[sc]e as published by the Free Software Foundation[;,.:]? either version 3 of the Licen[sc]e,? or \\(?at your option\\)? any later version", "either version 3 of the", 4),
+    ("gpl-1-or-later", "GNU General Public Licen[sc]e as published by the Free Software Foundation[;,.:]? either version 1,? or \\(?at your option\\)? any later version", "either version 1", 4),
+    ("gpl-2", "GNU General Public Licen[sc]e(?: as published by the Free Software Foundation)?[;,.:]? version 2(?: of the Licen[sc]e)?", "version 2", 3),
+    ("gpl-3", "GNU General Public Licen[sc]e(?: as published by the Free Software Foundation)?[;,.:]? version 3(?: of the Licen[sc]e)?", "version 3", 3),
+    ("gpl-2", "GNU General Public Licen[sc]e version 2 as published by the Free Software Foundation", "version 2 as published by the free software foundation", 3),
+    ("gpl-3", "GNU General Public Licen[sc]e version 3 as published by the Free Software Foundation", "version 3 as published by the free software foundation", 3),
+    ("lgpl-2-or-later", "GNU (?:Lesser|Library) General Public Licen[sc]e as published by the Free Software Foundation[;,.:]? either version 2 of the Licen[sc]e,? or \\(?at your option\\)? any later version", "either version 2 of the", 4),
+    ("lgpl-2.1-or-later", "GNU (?:Lesser|Library) General Public Licen[sc]e as published by the Free Software Foundation[;,.:]? either version 2\\.1 of the Licen[sc]e,? or \\(?at your option\\)? any later version", "either version 2 1 of the", 4),
+    ("lgpl-3-or-later", "GNU (?:Lesser|Library) General Public Licen[sc]e as published by the Free Software Foundation[;,.:]? either version 3 of the Licen[sc]e,? or \\(?at your option\\)? any later version", "either version 3 of the", 4),
+    ("lgpl-2.1", "GNU (?:Lesser|Library) General Public Licen[sc]e as published by the Free Software Foundation[;,.:]? version 2\\.1", "foundation version 2 1", 3),
+    ("agpl-3-or-later", "GNU Affero General Public Licen[sc]e as published by the Free Software Foundation[;,.:]? either version 3 of the Licen[sc]e,? or \\(?at your option\\)? any later version", "either version 3 of the", 4),
+    ("agpl-3", "GNU Affero General Public Licen[sc]e as published by the Free Software Foundation[;,.:]? version 3", "foundation version 3", 3),
+    ("gpl", "You should have received a copy of the GNU General Public Licen[sc]e along with this program", "received a copy of the gnu general public", 2),
+    ("gpl", "GNU GENERAL PUBLIC LICENSE Version \\d, \\d+ [A-Z][a-z]+ \\d{4}", "gnu general public license version", 2),
+    ("lgpl", "You should have received a copy of the GNU (?:Lesser|Library) General Public Licen[sc]e along with this (?:library|program)", "received a copy of the gnu l", 2),
+    ("agpl", "You should have received a copy of the GNU Affero General Public Licen[sc]e along with this program", "received a copy of the gnu affero", 2),
+    ("gpl-classpath-exception", "Linking this library statically or dynamically with other modules is making a combined work", "linking this library statically or dynamically", 3),
+    ("gfdl", "Permission is granted to copy,? distribute and/or modify this document under the terms of the GNU Free Documentation Licen[sc]e", "modify this document under the terms of the gnu free documentation", 2),
+    ("bsd-2-clause", "Redistributions of source code must retain the above copyright notice,? this list of conditions and the following disclaimer", "redistributions of source code must retain the above copyright", 2),
+    ("bsd-3-clause", "Neither the names? of [^.]{1,200} nor the names of (?:its|their|any) contributors may be used to endorse or promote products", "contributors may be used to endorse or promote products", 3),
+    ("bsd-4-clause", "All advertising materials mentioning features or use of this software must display the following acknowledge?ment", "advertising materials mentioning features or use of this software", 3),
+    ("bsd", "BSD-style licen[sc]e that can be found in the LICENSE file", "bsd style licen", 2),
+    ("0bsd", "Zero[ -]Clause BSD", "zero clause bsd", 3),
+    ("isc", "Permission to use,? copy,? modify,? and(?:/or)? distribute this software(?: and its documentation)? for any purpose with or without fee is hereby granted", "with or without fee is hereby granted", 2),
+    ("mpl-1.1", "subject to the Mozilla Public Licen[sc]e Version 1\\.1", "subject to the mozilla public licen", 4),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public Licen[sc]e,? v\\. 2\\.0", "this source code form is subject to the terms of the mozilla", 4),
+    ("mpl-2.0", "mozilla\\.org/MPL/2\\.0", "mozilla org mpl 2 0", 4),
+    ("epl-1.0", "eclipse\\.org/legal/epl-v10", "eclipse org legal epl v10", 4),
+    ("epl-2.0", "eclipse\\.org/legal/epl-(?:v20|2\\.0)", "eclipse org legal epl", 4),
+    ("cddl", "subject to the terms of the Common Development and Distribution Licen[sc]e", "subject to the terms of the common development", 2),
+    ("boost-1.0", "Permission is hereby granted,? free of charge,? to any person or organization obtaining a copy of the software and accompanying documentation", "to any person or organization obtaining a copy", 3),
+    ("boost-1.0", "boost\\.org/LICENSE_1_0\\.txt", "boost org license 1 0 txt", 4),
+    ("zlib", "Altered source versions must be plainly marked as such,? and must not be misrepresented as being the original software", "altered source versions must be plainly marked as such", 3),
+    ("json", "The Software shall be used for Good,? not Evil", "shall be used for good not evil", 3),
+    ("beerware", "THE BEER-?WARE LICEN[SC]E", "the beer", 3),
+    ("wtfpl", "YOU JUST DO WHAT THE F\\w+ YOU WANT TO", "you just do what the f", 3),
+    ("unlicense", "unlicense\\.org", "unlicense org", 2),
+    ("unlicense", "Anyone is free to copy,? modify,? publish,? use,? compile,? sell,? or distribute this software", "anyone is free to copy modify publish use compile sell", 3),
+    ("cc0", "To the extent possible under law,? [^.]{1,200} waived all copyright and related or neighbou?ring rights", "to the extent possible under law", 3),
+    ("cc0-1.0", "creativecommons\\.org/publicdomain/zero/1\\.0", "creativecommons org publicdomain zero", 5),
+    ("public-domain", "creativecommons\\.org/publicdomain/mark/1\\.0", "creativecommons org publicdomain mark", 5),
+    ("artistic", "under the same terms as Perl itself", "under the same terms as perl itself", 2),
+    ("gpl", "under the same terms as Perl itself", "under the same terms as perl itself", 2),
+    ("ofl-1.1", "This Font Software is licen[sc]ed under the SIL Open Font Licen[sc]e,? Version 1\\.1", "this font software is licensed under the sil", 4),
+    ("python-2", "PSF LICENSE AGREEMENT FOR PYTHON", "license agreement for python", 3),
+    ("ijg", "This software is based in part on the work of the Independent JPEG Group", "work of the independent jpeg group", 2),
+    ("openssl", "This product includes software developed by the OpenSSL Project", "software developed by the openssl project", 3),
+    ("ssleay", "This product includes cryptographic software written by Eric Young", "cryptographic software written by eric young", 3),
+    ("curl", "licen[sc]ed as described in the file COPYING,? which you should have received as part of this distribution", "licensed as described in the file copying", 2),
+    ("ncsa", "University of Illinois/NCSA Open Source Licen[sc]e", "illinois ncsa open source licen", 3),
+    ("sspl-1.0", "Server Side Public Licen[sc]e", "server side public licen", 3),
+    ("busl-1.1", "Business Source Licen[sc]e", "business source licen", 3),
+    ("elastic-2.0", "Elastic Licen[sc]e 2\\.0", "elastic licen", 3),
+    ("commons-clause", "Commons Clause Licen[sc]e Condition", "commons clause licen", 3),
+    ("cecill", "CeCILL(?:-[BC])?", "cecill", 2),
+    ("upl-1.0", "Universal Permissive Licen[sc]e", "universal permissive licen", 3),
+    ("mulan-psl-2.0", "Mulan PSL v2", "mulan psl v2", 4),
+    ("vim", "Vim Licen[sc]e", "vim licen", 2),
+    ("ecl-2.0", "Educational Community Licen[sc]e,? Version 2\\.0", "educational community licen", 3),
+    ("hpnd", "supporting documentation,? and that the name of [^.]{1,200} not be used in advertising or publicity", "not be used in advertising or publicity", 2),
+    ("ogl-3.0", "Open Government Licen[sc]e v(?:ersion )?3\\.0", "open government licen", 3),
+    ("cc-by-sa-3.0", "Text is available under the Creative Commons Attribution-ShareAlike", "text is available under the creative commons attribution", 2),
+]
 LEADS = "(?:licen[sc]ed|released|distributed|available|published|covered|provided|made available)(?: to you)?(?: under| by|:)(?: the)?(?: terms of(?: the)?)? "
 
 #: Edges of words as GAP has them, in either case.
 LEFT, RIGHT = (rf"(?{look}[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])" for look in ("<!", "!"))
-SPACE, VERSION = r"[\s*#/,-]{1,8}", r"(?i:[\s,;(-]{0,4}(?:version|ver\.?|v\.?)?[\s-]{0,2})"
+SIGNS = r"\s*#/,;:%!|>\"'-"
+SPACE = rf"[{SIGNS}]++"
+#: Between a name and its number: any run with a word for version, else a few signs.
+VERSION = rf"(?i:[{SIGNS}(]*+(?:version|ver\.?|v\.?)[{SIGNS}]*+|[\s,;(-]{{0,4}})"
 
 
 def _spaced(pattern: str) -> str:
@@ -95,13 +189,13 @@ def rules() -> list[dict]:
     def add(label: str, expression: str, keyword: str, priority: int, confidence: float) -> None:
         out.append({"label": label, "expression": expression, "keyword": keyword, "priority": priority, "confidence": confidence})
 
+    later = rf"(?i:\+|{SPACE}or{SPACE}(?:\(?at{SPACE}your{SPACE}option\)?{SPACE})?(?:any{SPACE})?(?:later|newer|greater))"
     for label, names, versions, tags in FAMILIES:
         for name in names:
             word = _keyword(name)
             body = rf"{LEFT}{_spaced(name)}{RIGHT}" if name.isupper() else rf"{LEFT}(?i:{_spaced(name)}){RIGHT}"
             for v in versions:
                 number = v.replace(".", r"\.") + ("" if "." in v else r"(?:\.0)?")
-                later = rf"(?i:\+|{SPACE}or{SPACE}(?:\(at{SPACE}your{SPACE}option\){SPACE})?(?:any{SPACE})?(?:later|newer|greater))"
                 add(f"{label}-{v}", rf"{body}{VERSION}{number}(?![.]?\d)", word, 3, 0.95)
                 add(f"{label}-{v}-or-later", rf"{body}{VERSION}{number}{later}", word, 4, 0.97)
             add(label, rf"(?i:{_spaced(LEADS)}){body}", word, 2, 0.9)
@@ -109,8 +203,13 @@ def rules() -> list[dict]:
                 add(label, body, word, 1, 0.7)
         for tag in tags:
             for v in versions or [""]:
-                ending = "-" + v.replace(".", r"\.") + ("" if "." in v else r"(?:\.0)?") + "(?:-only|-or-later|\\+)?" if v else ""
-                add(f"{label}-{v}" if v else label, rf"(?i)SPDX-License-Identifier:\s{{0,4}}\(?{tag}{ending}(?![\w.-])", "spdx license identifier", 5, 1.0)
+                number = "-" + v.replace(".", r"\.") + ("" if "." in v else r"(?:\.0)?") if v else ""
+                name = f"{label}-{v}" if v else label
+                # The first tag of an expression, or one after AND, OR or a bracket, in its own case there.
+                for lead in (rf"(?i:SPDX-License-Identifier:[\s(]{{0,8}}{tag})", rf"(?:AND|OR)[ \t(]++{tag}"):
+                    add(name, rf"{lead}{number}(?:-only)?(?![\w+-]|\.\w)", "spdx license identifier", 5, 1.0)
+                    if v:
+                        add(f"{name}-or-later", rf"{lead}{number}(?:-or-later|\+)(?![\w-])", "spdx license identifier", 5, 1.0)
     for kind in CC_KINDS:
         label = "cc-" + "-".join(kind)
         short, names = "CC" + "".join(rf"[\s-]{k}" for k in kind), r"[\s,-]{1,4}".join(CC_PARTS[k] for k in kind)
@@ -122,6 +221,16 @@ def rules() -> list[dict]:
             add(f"{label}-{v}", rf"(?i)SPDX-License-Identifier:\s{{0,4}}\(?CC-{'-'.join(kind)}-{number}(?![\w.-])", "spdx license identifier", 5, 1.0)
         add(label, rf"(?i){LEFT}{short}(?![\w-])", "cc by", 2, 0.8)
         add(label, rf"(?i){LEFT}Creative{SPACE}Commons{SPACE}{names}{RIGHT}", "creative commons attribution", 2, 0.85)
+    for acronym, versions in ACRONYMS:
+        for v in versions:
+            major, _, minor = v.partition(".")
+            number = major + (rf"\.{minor}" if minor else r"(?:\.0)?")
+            forms = [(rf"v{number}", f"{acronym}v{major}"), (rf"{SPACE}v(?:ersion{SPACE})?{number}", f"{acronym} v"), (rf"{SPACE}{major}\.{minor or 0}", f"{acronym} {major} {minor or 0}")]
+            for form, word in forms:
+                add(f"{acronym}-{v}", rf"(?i){LEFT}{acronym}{form}(?![.]?\d)", word, 3, 0.95)
+                add(f"{acronym}-{v}-or-later", rf"(?i){LEFT}{acronym}{form}{later}", word, 4, 0.97)
+    for label, wording, keyword, priority in NOTICES:
+        add(label, rf"(?i){LEFT}{_spaced(wording)}{RIGHT}", keyword, priority, 0.9)
     for label, grants in GRANTS.items():
         for grant in grants:
             body = rf"{LEFT}{_spaced(grant)}{RIGHT}" if grant.isupper() else rf"(?i){LEFT}{_spaced(grant)}{RIGHT}"

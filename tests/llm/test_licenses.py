@@ -17,6 +17,39 @@ NOTICES = [
 ]
 
 
+#: Notices and the labels that the rules give them.
+LABELS = {
+    "/*\n *          Permission is hereby granted, free of charge,\n *            to any person obtaining a copy": "mit",
+    "licensed under gpl v3": "gpl-3",
+    "GPLv3": "gpl-3",
+    "GPLv2+ and LGPLv2.1": "gpl-2-or-later,lgpl-2.1",
+    "covered by the mpl 2.0": "mpl-2.0",
+    "dual licensed under MIT or Apache-2.0": "apache-2.0,mit",
+    "Licensed under the Apache License,\n          * Version 2.0": "apache,apache-2.0",
+    "the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version": "gpl,gpl-2-or-later",
+    "// under the terms of the GNU Lesser General Public\n//    License as published by the Free Software Foundation;\n//    either version 2.1 of the License, or\n//    (at your option) any later version": "lgpl-2.1-or-later",
+    "GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": "agpl-3-or-later",
+    "SPDX-License-Identifier: MIT OR Apache-2.0": "apache-2.0,mit",
+    "SPDX-License-Identifier: (GPL-2.0-or-later AND BSD-3-Clause)": "bsd-3-clause,gpl-2-or-later",
+    "SPDX-License-Identifier: GPL-2.0-only": "gpl-2",
+    "The Software shall be used for Good, not Evil.": "json",
+    "a simple 2.0 example of gpl": "",
+}
+
+
+def test_labels(spark):
+    rows = licenses.scan(spark.createDataFrame([(k, text) for k, text in enumerate(LABELS)], "doc_id BIGINT, text STRING")).orderBy("doc_id").collect()
+    assert {r.text: r["__scan"].labels for r in rows} == LABELS
+    assert all(tuple(r["__scan"]) == plain(r.text) for r in rows)
+
+
+def test_each_keyword_stands_in_each_match():
+    for r in licenses.RULES:
+        for text in LABELS:
+            hay = re.sub(licenses.GAP, " ", text.lower()).strip() + "\n" + text
+            assert not re.search(r["expression"], text) or r["keyword"] in hay, (r, text)
+
+
 def plain(text):
     """The same by loops over the text."""
     text = text or ""
