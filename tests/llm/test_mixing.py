@@ -1,6 +1,8 @@
 import re
 from collections import Counter, defaultdict
 
+import pytest
+
 from lowfold.llm import mixing
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -67,3 +69,19 @@ def test_only_empty_texts(spark):
 def test_the_plan_is_native(odd_docs):
     plan = mixing.mix(odd_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("key", [None, 1])
+@pytest.mark.parametrize("same", [False, True])
+def test_rows_of_one_id_come_near_their_target(spark, key, same):
+    """All rows of a source under one id, with one text or with many, and one of its rows at most beside the target."""
+    rows = [(key, " ".join(["w"] * 10) if same else f"{k} " + "w " * 9, "a") for k in range(2000)]
+    rows += [(k, "x " * 10, "b") for k in range(2, 3002)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING").repartition(7)
+    found = mixing.mix(docs).collect()
+    taken, want = defaultdict(int), {}
+    for r in found:
+        taken[r.source] += r.taken
+        want[r.source] = r.target
+    assert len(found) == 5000 and all(abs(taken[s] - want[s]) <= 5 for s in want), (taken, want)
+    assert Counter(r.source for r in mixing.mixed(docs).collect()) == {s: n // 10 for s, n in taken.items()}
