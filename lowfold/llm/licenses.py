@@ -80,13 +80,19 @@ ACRONYMS = [("gpl", ["1", "2", "3"]), ("lgpl", ["2", "2.1", "3"]), ("agpl", ["1"
 
 # Wordings of notices and texts, as (label, wording, words that each match holds, priority).
 NOTICES = [
-    ("mit", "(?:licen[sc]ed|released|distributed|available|dual-licen[sc]ed) under(?: the| either| both| either the)? MIT", "under mit", 2),
-    ("mit", "(?:licen[sc]ed|released|distributed|available) under(?: the| either| both| either the) MIT", "mit", 2),
+    ("mit", "(?:licen[sc]ed|released|distributed|available) under MIT", "under mit", 2),
+    ("mit", "(?:licen[sc]ed|released|distributed|available) under the MIT", "under the mit", 2),
+    ("mit", "(?:licen[sc]ed|released|distributed|available) under either MIT", "under either mit", 2),
+    ("mit", "(?:licen[sc]ed|released|distributed|available) under both MIT", "under both mit", 2),
+    ("mit", "(?:licen[sc]ed|released|distributed|available) under either the MIT", "under either the mit", 2),
     ("mit", "MIT or Apache", "mit or apache", 2),
     ("mit", "MIT/Apache", "mit apache", 2),
     ("mit", "MIT and Apache", "mit and apache", 2),
-    ("mit", "Apache(?:[ -]2(?:\\.0)?)? or MIT", "or mit", 2),
-    ("mit", "licen[sc]e: MIT", "mit", 2),
+    ("mit", "Apache or MIT", "apache or mit", 2),
+    ("mit", "Apache[ -]2 or MIT", "apache 2 or mit", 2),
+    ("mit", "Apache[ -]2\\.0 or MIT", "apache 2 0 or mit", 2),
+    ("mit", "license: MIT", "license mit", 2),
+    ("mit", "licence: MIT", "licence mit", 2),
     ("mit", "to deal in the Software without restriction,? including without limitation the rights to use,? copy,? modify,? merge,? publish", "to deal in the software without restriction", 2),
     ("mit", "The above copyright notice and this permission notice(?: \\(including the next paragraph\\))? shall be included in all copies or substantial portions", "copies or substantial portions", 2),
     ("mit", "THE SOFTWARE IS PROVIDED \"?AS IS\"?,? WITHOUT WARRANTY OF ANY KIND,? EXPRESS OR IMPLIED,? INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,? FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT", "and noninfringement", 2),
