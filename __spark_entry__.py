@@ -99,6 +99,16 @@ def _knn(spark: SparkSession, sf: str, metric: str = "euclidean", p: float = 2.0
     return knn.knn_self(_points(spark, sf), K, metric, p).select("id", "nbr", "dist", F.col("rank").cast("int"))
 
 
+def _approx_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """Neighbours wanted, and whether the approximate lists hold nine tenths of the exact ones, each no nearer than it can be."""
+    exact = _knn(spark, sf).select("id", "nbr", F.col("dist").alias("least"))
+    found = knn.knn_graph(_points(spark, sf), K, method="approx").select("id", "nbr", "dist")
+    both = exact.join(found, ["id", "nbr"], "left")
+    right = F.abs(F.col("dist") - F.col("least")) <= 1e-9 * (1 + F.col("least"))
+    facts = both.agg(F.count(F.lit(1)).alias("wanted"), F.count(F.when(right, 1)).alias("found"))
+    return facts.select("wanted", (10 * F.col("found") >= 9 * F.col("wanted")).alias("enough"))
+
+
 def _edges(spark: SparkSession, sf: str) -> DataFrame:
     return fuzzy.fuzzy_union(fuzzy.membership(_knn(spark, sf), K))
 
@@ -396,6 +406,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "topk_merge": _topk_merge,
         "nn_descent_round": _nn_descent_round,
         "knn_approx": lambda s, d: knn.knn_graph(_points(s, d), K, method="approx"),
+        "knn_approx_recall": _approx_recall,
         "rho": lambda s, d: _six(fuzzy.rho(_knn(s, d)), "rho"),
         "sigma": lambda s, d: _six(fuzzy.local_scales(_knn(s, d), K), "rho", "sigma"),
         "membership": lambda s, d: _six(fuzzy.membership(_knn(s, d), K), "w"),
@@ -578,6 +589,7 @@ def _own_sql() -> dict[str, str]:
         "experiment_label": "SELECT event_id, '/' || CASE WHEN event_type = 'view' THEN 'dev' ELSE event_type END || '/umap' AS label FROM events",
         "attach_target": f"WITH {POINTS}, {SPOTS} SELECT y.id, round(y0, 6) + 0.0 AS dim_0, CAST(label AS VARCHAR) AS label FROM y JOIN embeddings ON vec_id = y.id",
         "knn_exact": _with(near, list_all),
+        "knn_approx_recall": f"SELECT CAST(sum(least({K}, n - 1)) AS BIGINT) AS wanted, true AS enough FROM (SELECT count(*) OVER () AS n FROM embeddings)",
         "knn_manhattan": _with(_knn_sql(MANHATTAN), list_all),
         "knn_chebyshev": _with(_knn_sql(CHEBYSHEV), list_all),
         "knn_minkowski": _with(_knn_sql(MINKOWSKI), list_all),

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from helpers import as_lists, brute_knn, points
 
+from lowfold.operators import forest
 from lowfold.operators.cells import build_cells
 from lowfold.operators.descent import knn_descent
 from lowfold.operators.knn import knn_graph, knn_query, knn_self, merge_top_k, reverse_graph
@@ -116,3 +117,28 @@ def test_descent_recall_and_hub_path(spark):
 def test_descent_full_width(spark):
     nbr, dist = as_lists(knn_descent(points(spark, [[0], [1], [3], [7]]), 3, tol=0), 4, 3)
     assert np.isfinite(dist).all() and nbr[0].tolist() == [1, 2, 3]
+
+
+def test_forest_leaves(spark):
+    """Each row in one leaf of each tree; copies of one vector are spread, so no leaf is much over its size."""
+    x = np.concatenate([RNG.normal(size=(1500, 6)), np.ones((700, 6)), np.zeros((300, 6))])
+    got = forest.leaves(points(spark, x), len(x), 6, 3, 100, 5, StepStore(spark, "forest")).toPandas()
+    assert len(got) == 3 * len(x) == len(got.drop_duplicates(["tree", "id"]))
+    sizes = got.groupby(["tree", "leaf"]).size()
+    assert sizes.max() <= 110 and sizes.min() >= 20
+    assert forest.fans(100, 100) == [] and forest.fans(101, 100) == [2] and forest.fans(100 * 16, 100) == [4, 4]
+
+
+def test_a_forest_saves_most_of_the_changes(spark):
+    """Equal recall from fewer rounds that change a quarter of the entries at most."""
+    x = RNG.normal(size=(2500, 12))
+    want = {(i, j) for i, row in enumerate(brute_knn(x, 10)[0]) for j in row}
+    recall, rounds = {}, {}
+    for start in ("random", "forest"):
+        rounds[start] = []
+        got = knn_descent(points(spark, x), 10, start=start, changed=rounds[start]).toPandas()
+        recall[start] = len(want & set(zip(got.id, got.nbr))) / len(want)
+    assert recall["forest"] >= recall["random"] - 0.002 and recall["forest"] > 0.98
+    assert len(rounds["forest"]) < len(rounds["random"]) and 4 * sum(rounds["forest"]) <= sum(rounds["random"])
+    with pytest.raises(ValueError, match="start"):
+        knn_descent(points(spark, x), 10, start="tree")
