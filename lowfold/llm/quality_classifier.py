@@ -166,7 +166,7 @@ def classify(docs: DataFrame, sample: int = SAMPLE, keep: float = KEEP, label: s
     texts = store.save(told.groupBy("mark").agg(F.min("votes").alias("votes")), "texts")
 
     total = texts.count()
-    drawn = texts.withColumn("draw", draw(F.hex("mark"), 23))
+    drawn = texts.withColumn("draw", draw(F.hex("mark"), F.lit(""), 23))
     drawn = drawn.filter(F.col("draw") < int(min(1.0, 1.5 * sample / max(1, total) + 1e-9) * (1 << 52)))
     picked = F.broadcast(store.save(drawn.orderBy("draw", "mark").limit(sample), "picked"))
     rows = docs.select(mark.alias("mark"), "text").join(picked, "mark").groupBy("mark", "votes", "draw").agg(F.min("text").alias("text"))

@@ -57,3 +57,9 @@ def test_rows_of_one_id_keep_their_own_votes(spark):
     out = qc.classify(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()
     assert len(out) == len(rows) and all(r["__votes"] == qc.vote(r.text) for r in out)
     assert len({(r.text or "", r["__score"]) for r in out}) == 5
+
+
+def test_the_query_rates_every_row_and_reruns_agree(spark):
+    first, again = (sorted(map(tuple, qc.query(spark, SF).collect())) for _ in range(2))
+    assert first == again and len(first) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert all(None not in row for row in first)
