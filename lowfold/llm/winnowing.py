@@ -14,12 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import SMALL_ROWS, by_ids, steps, with_small
+from .util import SMALL_ROWS, by_ids, held_by_ids, steps, with_small
 
 #: Words of a window, and of a hashed run within it.
 SPAN, GRAM = 10, 5
-#: What parts words once A-Z are lowered.
+#: What parts words once A-Z are lowered, and before.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+RAW_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -36,11 +37,15 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _gram(hashes: Column, at: Column, gram: int = GRAM) -> Column:
+    return F.xxhash64(*[hashes[at + k] for k in range(gram)])
+
+
 def fingerprints(ws: Column, span: int = SPAN, gram: int = GRAM) -> Column:
     """``array<struct<fp, first, last>>`` of an array of words: a kept hash and the first and last window, from 0, that keeps it."""
 
     def grams(hashes: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(hashes) - gram), lambda i: F.xxhash64(*[hashes[i + k] for k in range(gram)]))
+        return F.transform(F.sequence(F.lit(0), F.size(hashes) - gram), lambda i: _gram(hashes, i, gram))
 
     def least(found: Column) -> Column:
         across = span - gram + 1
@@ -59,10 +64,18 @@ def _window(start: Column, length) -> Column:
     return F.array_join(F.slice("ws", start + 1, length), " ")
 
 
-def _marked(rows: DataFrame) -> DataFrame:
-    """``rows(__key, ws)`` with a row for each fingerprint; words and fingerprints are one value, so neither is computed twice."""
-    both = _let(F.col("ws"), lambda ws: F.struct(ws.alias("ws"), fingerprints(ws).alias("fps")))
-    return rows.select("__key", both.alias("__both")).select("__key", F.col("__both.ws").alias("ws"), F.inline("__both.fps"))
+def _hashed(rows: DataFrame) -> DataFrame:
+    """``rows(__key, ws)`` with a row for each window, its place ``at`` and the hash that it keeps, the one of ``fingerprints``.
+
+    Rows are compiled, unlike functions of arrays, and most are dropped by a
+    join right behind; the words stay an array that is made once a text, so no
+    filter may stand on it.
+    """
+    rows = rows.withColumn("__hashes", F.transform("ws", lambda w: F.xxhash64(w)))
+    starts = F.when(F.size("ws") >= SPAN, F.sequence(F.lit(0), F.size("ws") - SPAN))
+    rows = rows.select("__key", "ws", "__hashes", F.explode(starts).alias("at"))
+    least = F.least(*[_gram(F.col("__hashes"), F.col("at") + k) for k in range(SPAN - GRAM + 1)])
+    return rows.select("__key", "ws", "at", least.alias("fp"))
 
 
 def _meeting(rows: DataFrame, ids: DataFrame, key: str, count: int) -> DataFrame:
@@ -94,10 +107,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, label: str = "winnow")
     windows = store.save(windows.withColumn("wid", F.monotonically_increasing_id()), "windows")
     holders = store.save(held.join(windows.select("window", "wid"), "window").select("wid", "item"), "holders")
 
-    texts = docs.select(mark.alias("__key"), words(F.col("text")).alias("ws")).filter(F.size("ws") > 0)
-    kept = store.save(_marked(items.select(F.col("item").alias("__key"), "ws")).select("fp").distinct(), "fingerprints")
-    near = _meeting(_marked(texts), kept, "fp", kept.count())
-    near = near.select("__key", "ws", F.explode(F.sequence("first", "last")).alias("at")).select("__key", "at", _window(F.col("at"), F.lit(SPAN)).alias("window"))
+    texts = docs.select(mark.alias("__key"), words(F.col("text")).alias("ws"))
+    kept = store.save(items.select(F.inline(fingerprints(F.col("ws")))).select("fp").distinct(), "fingerprints")
+    few = kept.count() <= SMALL_ROWS
+    near = _hashed(texts).join(F.broadcast(kept), "fp") if few else held_by_ids(_hashed(texts), kept, "fp")
+    near = near.select("fp", "__key", "at", _window(F.col("at"), F.lit(SPAN)).alias("window"))
+    near = (near if few else near.join(kept, "fp")).drop("fp")  # of many, only windows are shuffled, not whole texts
 
     # Items shorter than a window: wherever their first word stands, as many words as they have.
     short = items.filter(F.size("ws") < SPAN).select(F.col("ws")[0].alias("word"), F.size("ws").alias("length")).distinct()
@@ -124,7 +139,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, label: str = "winnow")
     told = with_small(hits.select("__key", "__set", covered.alias("n_hit")), found, ["__set"]).drop("__set")
     told = store.save(told, "told")
 
-    n_words = F.regexp_count(lowered(F.col("text")), F.lit(GAP.replace("[", "[^", 1))).cast("long")
+    n_words = F.size(F.array_remove(F.split(F.coalesce(F.col("text"), F.lit("")), RAW_GAP), "")).cast("long")
     rows = store.save(docs.select("doc_id", mark.alias("__key"), n_words.alias("n_words")), "documents")
     out = with_small(rows, told, ["__key"], "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))

@@ -6,6 +6,7 @@ import pytest
 from llm_texts import prose
 
 from lowfold.llm import util, winnowing
+from lowfold.session import StepStore
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -84,3 +85,20 @@ def test_native(spark, odd_docs):
     items = odd_docs.select("text", odd_docs.doc_id.alias("item_id"))
     plan = winnowing.contamination(odd_docs, items)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_each_window_has_the_hash_that_it_keeps(spark):
+    texts = [[f"w{random.Random(k).randrange(5)}" if k % 2 else f"w{j}" for j in range(k)] for k in range(40)] + [["a"] * 30]
+    df = spark.createDataFrame(list(enumerate(texts)), "__key INT, ws ARRAY<STRING>")
+    runs = df.select("__key", winnowing.fingerprints(df.ws).alias("fps")).collect()
+    want = {(r["__key"], at, x.fp) for r in runs for x in r.fps or [] for at in range(x.first, x.last + 1)}
+    got = [(r["__key"], r["at"], r.fp) for r in winnowing._hashed(df).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_texts_are_parted_once_a_pass(spark, odd_docs, monkeypatch):
+    plans, save = {}, StepStore.save
+    monkeypatch.setattr(StepStore, "save", lambda self, df, name: plans.update({name: df._jdf.queryExecution().optimizedPlan().toString()}) or save(self, df, name))
+    winnowing.contamination(odd_docs, spark.createDataFrame([(1, prose(3, 51))], "item_id BIGINT, text STRING"))
+    assert plans["near"].count("split(") == 1
+    assert plans["documents"].count("split(") == 1 and "regexp" not in plans["documents"] and "translate" not in plans["documents"]
