@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -248,7 +249,8 @@ class Encoder:
 
     #: ASCII signs but the apostrophe, which may belong to the letters beside it.
     SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
-    EDGE = re.compile(rb"[a-z](?=[" + re.escape(SIGNS) + rb"])")
+    #: The first sign after a letter; it starts with the rarer of the two, which is what is searched for.
+    EDGE = re.compile(rb"[" + re.escape(SIGNS) + rb"](?<=[a-z].)", re.DOTALL)
     #: A special token that parts words in one call.
     PART = "<|endoftext|>"
 
@@ -303,22 +305,31 @@ class Encoder:
         for (word, _), a, b in zip(words, starts, stops, strict=True):
             yield word, data[4 * a : 4 * b]
 
-    def _words(self, text: str | None) -> list[bytes]:
-        """Lowered words, ASCII signs after a letter apart. Texts that may hold special tokens stay as they are."""
+    def _spaced(self, text: str | None) -> bytes:
+        """The text lowered, ASCII signs after a letter apart. Texts that may hold special tokens stay as they are."""
         data = (text or "").encode("utf-8", "surrogatepass")
-        return data.split() if b"<|" in data else self.EDGE.sub(rb"\g<0> ", data.lower()).split()
+        return data if b"<|" in data else self.EDGE.sub(rb" \g<0>", data.lower())
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [self._words(t) for t in texts]
+        """Little-endian unsigned 32-bit ids of each text.
+
+        Arrow parts the words, numbers the different ones and puts their ids in
+        place, so a word is looked up once for all texts that are given.
+        """
+        spaced = pa.array([self._spaced(t) for t in texts], pa.large_binary())
+        split = pc.ascii_split_whitespace(spaced.view(pa.large_string()))
+        numbered = split.flatten().view(pa.large_binary()).dictionary_encode()
+        words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        missing = set().union(*split).difference(known)
-        met = missing.intersection(older)
-        known.update((w, older[w]) for w in met)
-        known.update(self._encode(sorted(missing.difference(met))))
-        return [b"".join([known[w] for w in words]) for words in split]
+        found = [known.get(w) for w in words]
+        missing = [w for w, code in zip(words, found, strict=True) if code is None]
+        known.update((w, older[w]) for w in missing if w in older)
+        known.update(self._encode(sorted(w for w in missing if w not in older)))
+        found = [known[w] if code is None else code for w, code in zip(words, found, strict=True)]
+        ids = pa.array(found, pa.large_binary()).take(numbered.indices)
+        return pc.binary_join(pa.ListArray.from_arrays(split.offsets, ids), pa.scalar(b"", pa.large_binary())).to_pylist()
 
 
 _ENCODERS: dict[tuple[int, int], Encoder] = {}

@@ -68,6 +68,28 @@ def test_word_by_word_ids_are_those_of_the_text(reference):
         assert np.frombuffer(code, "<u4").tolist() == reference.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_are_looked_up_once_for_all_texts(reference, monkeypatch):
+    """However often a word comes, texts are encoded together by their different words, also while words are forgotten."""
+    monkeypatch.setattr(packing, "REMEMBERED", 5)
+    looked = []
+
+    class Known(dict):
+        def get(self, word, other=None):
+            looked.append(word)
+            return super().get(word, other)
+
+    encoder = packing.Encoder(packing.tokenizer_json())
+    encoder.known = Known()
+    texts = ["one two, one" * 50, None, "", " \x0b\x0c two", "One\x85 \x1cé. 3.5 don't", "one <|endoftext|> One"]
+    for k in range(4):
+        got = encoder.encode([*texts, f"new{k} words{k}"])
+        want = [reference.encode(t or "", add_special_tokens=False).ids for t in [*texts, f"new{k} words{k}"]]
+        assert [np.frombuffer(code, "<u4").tolist() for code in got] == want
+        if k == 0:
+            assert looked and len(looked) == len(set(looked))
+    assert encoder.encode([]) == []
+
+
 def test_pieces_and_places(odd_docs, reference):
     rows = packing.pack(odd_docs, capacity=512).collect()
     want = Counter()
