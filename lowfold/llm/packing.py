@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import bisect
 import json
-import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -35,8 +34,10 @@ END_ID = 0
 WIDTH, NODES = 6, 3000
 #: Lengths of a filling up to which it is tried whether one piece can stand for two.
 PAIRED = 8
-#: Words that a worker process remembers for sure; it holds up to twice as many, at about 160 bytes each.
+#: Words that a worker process remembers for sure; it holds up to twice as many and those of one encoding, at about 160 bytes each.
 REMEMBERED = 400_000
+#: Bytes of text, and for each row of output, from which batches are encoded together: the more, the fewer lookups a word.
+GATHERED, ROW = 1 << 20, 64
 #: Buckets in which the ranks of one length are counted.
 BUCKETS = 64
 
@@ -249,8 +250,8 @@ class Encoder:
 
     #: ASCII signs but the apostrophe, which may belong to the letters beside it.
     SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
-    #: The first sign after a letter; it starts with the rarer of the two, which is what is searched for.
-    EDGE = re.compile(rb"[" + re.escape(SIGNS) + rb"](?<=[a-z].)", re.DOTALL)
+    #: Turns small letters into a, such signs into !.
+    KINDS = bytes.maketrans(bytes(range(97, 123)) + SIGNS, b"a" * 26 + b"!" * len(SIGNS))
     #: A special token that parts words in one call.
     PART = "<|endoftext|>"
 
@@ -268,55 +269,72 @@ class Encoder:
         for token, number in vocabulary.items() if suffix else ():
             self.ends[number] = token.endswith(suffix)
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+    def _ids(self, text: bytes) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)[0].ids, "<u4")
 
-    def _encode(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Words with their ids. Those of letters alone are one run each, so the ids that end a run part them;
+    def _learn(self, words: list[bytes]) -> None:
+        """Words' ids into ``known``. Those of letters alone are one run each, so the ids that end a run part them;
         others are parted by a special token, or encoded one by one."""
-        letters, plain, odd = [], [], []
-        for word in words:
-            text = word.decode("utf-8", "replace")
-            if text.isascii() and text.isalpha() or unicodedata.normalize("NFC", text).lower().isalpha():
-                letters.append((word, text))
+        letters = [word for word in words if word.isalpha()]  # of ASCII, by far the most
+        plain, odd = [], []
+        for word in words if len(letters) < len(words) else ():
+            if word.isalpha():
+                continue
+            if unicodedata.normalize("NFC", word.decode("utf-8", "replace")).lower().isalpha():
+                letters.append(word)
             elif self.part is not None and b"<|" not in word:
-                plain.append((word, text))
+                plain.append(word)
             else:
-                odd.append((word, text))
+                odd.append(word)
         for k in range(0, len(letters), 256):
             some = letters[k : k + 256]
-            ids = self._ids(" ".join(text for _, text in some))
+            ids = self._ids(b" ".join(some))
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(some) or cuts[-1] != len(ids):
                 odd += some
                 continue
-            yield from self._parted(some, ids, [0, *cuts[:-1].tolist()], cuts.tolist())
+            self._part(some, ids, [0, *cuts[:-1].tolist()], cuts.tolist())
         for k in range(0, len(plain), 128):
             some = plain[k : k + 128]
-            ids = self._ids(self.PART.join(text for _, text in some))
+            ids = self._ids(self.PART.encode().join(some))
             cuts = np.flatnonzero(ids == self.part)
-            yield from self._parted(some, ids, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)])
-        for word, text in odd:
-            yield word, self._ids(text).tobytes()
+            self._part(some, ids, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)])
+        for word in odd:
+            self.known[word] = self._ids(word).tobytes()
 
-    @staticmethod
-    def _parted(words: list[tuple[bytes, str]], ids: np.ndarray, starts: list[int], stops: list[int]) -> Iterator[tuple[bytes, bytes]]:
+    def _part(self, words: list[bytes], ids: np.ndarray, starts: list[int], stops: list[int]) -> None:
         data = ids.tobytes()
-        for (word, _), a, b in zip(words, starts, stops, strict=True):
-            yield word, data[4 * a : 4 * b]
-
-    def _spaced(self, text: str | None) -> bytes:
-        """The text lowered, ASCII signs after a letter apart. Texts that may hold special tokens stay as they are."""
-        data = (text or "").encode("utf-8", "surrogatepass")
-        return data if b"<|" in data else self.EDGE.sub(rb" \g<0>", data.lower())
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+        self.known.update(zip(words, [data[4 * a : 4 * b] for a, b in zip(starts, stops, strict=True)], strict=True))
+
+    def _spaced(self, texts: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """The texts lowered, ASCII signs after a letter apart. Texts that may hold special tokens stay as they are."""
+        starts = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = texts.buffers()[2].slice(starts[0], starts[-1] - starts[0]).to_pybytes() if starts[-1] > starts[0] else b""
+        starts = starts - starts[0]
+        lowered = np.frombuffer(bytearray(data.lower()), np.uint8)
+        kinds = np.frombuffer(bytearray(lowered.tobytes().translate(self.KINDS)), np.uint8)
+        special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+        if special.any():
+            same = np.repeat(special, np.diff(starts))
+            lowered[same], kinds[same] = np.frombuffer(data, np.uint8)[same], 0
+        edges = np.zeros(len(data) + 1, bool)
+        edges[1:-1] = (kinds[1:] == ord("!")) & (kinds[:-1] == ord("a"))
+        edges[starts] = False  # the letter belongs to the text before
+        at = np.flatnonzero(edges)
+        apart, starts = np.insert(lowered, at, 32), starts + np.searchsorted(at, starts)
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(starts), pa.py_buffer(apart)])
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text.
 
         Arrow parts the words, numbers the different ones and puts their ids in
         place, so a word is looked up once for all texts that are given.
         """
-        spaced = pa.array([self._spaced(t) for t in texts], pa.large_binary())
+        if isinstance(texts, list):
+            texts = pa.array([(t or "").encode("utf-8", "surrogatepass") for t in texts], pa.large_binary())
+        if not len(texts):
+            return []
+        spaced = self._spaced(pc.fill_null(texts.cast(pa.large_binary()), b""))
         split = pc.ascii_split_whitespace(spaced.view(pa.large_string()))
         numbered = split.flatten().view(pa.large_binary()).dictionary_encode()
         words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
@@ -324,10 +342,13 @@ class Encoder:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
         found = [known.get(w) for w in words]
-        missing = [w for w, code in zip(words, found, strict=True) if code is None]
-        known.update((w, older[w]) for w in missing if w in older)
-        known.update(self._encode(sorted(w for w in missing if w not in older)))
-        found = [known[w] if code is None else code for w, code in zip(words, found, strict=True)]
+        gaps = [k for k, code in enumerate(found) if code is None]
+        missing = [words[k] for k in gaps]
+        again = [older.get(w) for w in missing]
+        known.update((w, code) for w, code in zip(missing, again, strict=True) if code is not None)
+        self._learn([w for w, code in zip(missing, again, strict=True) if code is None])
+        for k, w in zip(gaps, missing, strict=True):
+            found[k] = known[w]
         ids = pa.array(found, pa.large_binary()).take(numbered.indices)
         return pc.binary_join(pa.ListArray.from_arrays(split.offsets, ids), pa.scalar(b"", pa.large_binary())).to_pylist()
 
@@ -344,6 +365,20 @@ def _encoder(spec: str) -> Encoder:
     return _ENCODERS[key]
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """The two columns of the batches, those of ``GATHERED`` bytes of text together, the second as binary."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        ids.append(batch.column(0))
+        texts.append(batch.column(1).cast(pa.large_binary()))
+        size += texts[-1].nbytes + ROW * len(batch)
+        if size >= GATHERED:
+            yield pa.concat_arrays(ids), pa.concat_arrays(texts)
+            ids, texts, size = [], [], 0
+    if ids:
+        yield pa.concat_arrays(ids), pa.concat_arrays(texts)
+
+
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)`` of each piece of ``docs(doc_id, text)``.
 
@@ -355,16 +390,15 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(spec)
         end = np.asarray([END_ID], "<u4").tobytes()
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for ids, texts in _gathered(batches):
             out: list[list] = [[], [], [], [], []]
-            for doc_id, code in zip(ids, encoder.encode(texts), strict=True):
+            for doc_id, code in zip(ids.to_pylist(), encoder.encode(texts), strict=True):
                 code += end
                 for piece, start in enumerate(range(0, len(code) // 4, capacity)):
                     part = code[4 * start : 4 * (start + capacity)]
                     for column, value in zip(out, (doc_id, piece, start, len(part) // 4, zlib.crc32(part)), strict=True):
                         column.append(value)
-            kinds = (batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            kinds = (ids.type, pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.record_batch([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lowfold.llm import packing
@@ -90,6 +91,44 @@ def test_words_are_looked_up_once_for_all_texts(reference, monkeypatch):
     assert encoder.encode([]) == []
 
 
+def test_batches_are_encoded_together(reference, monkeypatch):
+    """Words are looked up once for many batches, none of which is lost, repeated or reordered."""
+    looked = []
+
+    class Known(dict):
+        def get(self, word, other=None):
+            looked.append(word)
+            return super().get(word, other)
+
+    batches = [pa.record_batch([pa.array([k, None], pa.int64()), pa.array([f"Common words, and word{k % 7}.", None if k % 2 else ""])], names=["doc_id", "text"]) for k in range(40)]
+    rows = [r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+    for size in (packing.GATHERED, 1000, 1):
+        monkeypatch.setattr(packing, "GATHERED", size)
+        encoder = packing.Encoder(packing.tokenizer_json())
+        encoder.known = Known()
+        looked.clear()
+        groups = [(ids.to_pylist(), texts.to_pylist(), encoder.encode(texts)) for ids, texts in packing._gathered(iter(batches))]
+        assert [(i, t) for ids, texts, _ in groups for i, t in zip(ids, texts, strict=True)] == [(i, t if t is None else t.encode()) for i, t in rows]
+        want = [reference.encode(t or "", add_special_tokens=False).ids for _, t in rows]
+        assert [np.frombuffer(code, "<u4").tolist() for _, _, codes in groups for code in codes] == want
+        if size > 1000:
+            assert len(groups) == 1 and len(looked) == len(set(looked))
+        else:
+            assert len(groups) > 1
+    assert list(packing._gathered(iter([]))) == []
+
+
+def test_arrow_texts_keep_to_themselves(reference):
+    """Parts of arrays, null texts, letters before a text's first sign, special tokens beside plain texts."""
+    texts = ["skip.", None, "a", ".b,", "", "c.D <|endoftext|>E.f", "!", "Zé.x", None, "(g)", "<|STARTOFTEXT|>.", "h\x85.", "skip"]
+    want = [reference.encode(t or "", add_special_tokens=False).ids for t in texts]
+    encoder = packing.Encoder(packing.tokenizer_json())
+    for kind in (pa.string(), pa.large_string(), pa.large_binary()):
+        for a, b in ((0, 13), (1, 12), (4, 5), (8, 9), (5, 5)):
+            codes = encoder.encode(pa.array(texts, pa.string()).cast(kind).slice(a, b - a))
+            assert [np.frombuffer(code, "<u4").tolist() for code in codes] == want[a:b]
+
+
 def test_pieces_and_places(odd_docs, reference):
     rows = packing.pack(odd_docs, capacity=512).collect()
     want = Counter()
