@@ -17,6 +17,7 @@ from lowfold.operators import cells as C
 from lowfold.operators.descent import pair_distances
 from lowfold.operators.knn import knn_self
 from lowfold.operators.prepare import clean_points, dense_index, row_numbers, unique_keys
+from lowfold.operators.sweep import dealt_groups, group_rows, near_groups, reached_by_groups, streamed, sweep
 from lowfold.session import StepStore
 
 
@@ -26,8 +27,9 @@ def input_ranks(
 ) -> DataFrame:
     """``(id, nbr, rank)``: 1 + the number of other rows strictly closer to id than nbr is.
 
-    Each row looks only at cells within the distance of its farthest pair, and
-    equal vectors are counted together, so copies cost nothing.
+    Each row meets only cells within the distance of its farthest pair, in a
+    group of near rows that the cells stream past. Equal vectors are counted
+    together, so copies cost nothing.
     """
     space, name = C.search_space(points.select("id", "features"), metric, p)
     space = steps.save(space, "space")
@@ -39,36 +41,39 @@ def input_ranks(
     vectors = space.groupBy("features").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
     vectors = steps.save(vectors.select("id", "features", "copies"), "vectors")
     cells, data = C.build_cells(vectors, name, p, steps, block_rows)
-    queries = C.place_queries(space.join(lists, "id"), cells, steps)
-    reached = C.reached_cells(queries, cells, 1)
-    visits = C.further_visits(steps.save(reached, "reached"), cells, seen=False)
-
-    def kernel(q: pa.Table, x: pa.Table) -> pa.Table:
-        if not q.num_rows or not x.num_rows:
-            none = pa.array([], pa.int64())
-            return pa.table({"id": none, "nbr": none, "closer": none})
-        ids = q.column("id").to_numpy()
-        rows, others = tiles.matrix(q.column("features")), tiles.matrix(x.column("features"))
-        weight = x.column("copies").to_numpy()
-        nbrs, dists = tiles.matrix(q.column("nbr")).astype(np.int64), tiles.matrix(q.column("dist"))
-        centre = others.mean(axis=0)
-        margin = tiles.slack(rows - centre, others - centre)
-        closer = np.zeros(dists.shape, np.int64)
-        step = max(1, tiles.TILE_CELLS // len(others))
-        for s in range(0, len(rows), step):
-            tile = tiles.tile_distance(rows[s : s + step] - centre, others - centre, name, p)
-            for c in range(dists.shape[1]):
-                limit = dists[s : s + step, c, None]
-                closer[s : s + step, c] += (tile < limit - margin) @ weight
-                r, o = np.nonzero(np.abs(tile - limit) <= margin)
-                if len(r):
-                    near = tiles.pair_distance(rows[s + r], others[o], name, p) < limit[r, 0]
-                    np.add.at(closer[s : s + step, c], r[near], weight[o[near]])
-        spread = np.repeat(ids, dists.shape[1])
-        return pa.table({"id": spread, "nbr": nbrs.ravel(), "closer": closer.ravel()})
-
-    counts = C.meet(visits, data, kernel, "id BIGINT, nbr BIGINT, closer BIGINT")
-    counts = counts.groupBy("id", "nbr").agg(F.sum("closer").alias("closer"))
+    placed = C.place_queries(space.join(lists, "id"), cells, steps).drop("qsub")
+    most = group_rows(placed, cells.total, cells.centres.shape[1], block_rows)
+    grouped, groups = dealt_groups(placed, cells, most)
+    grouped = grouped.drop("qcell")
+
+    def hits(part: pa.RecordBatch) -> np.ndarray:
+        return cells.hits(tiles.matrix(part.column("features")), part.column("bound").to_numpy(), 1)[0]
+
+    pairs = steps.save(reached_by_groups(grouped.select("group", "features", "bound"), hits, len(cells.centres)), "reached")
+    order = np.concatenate(near_groups(cells.centres, cells.rows, 0))
+
+    class Counts:
+        def __init__(self, q: pa.Table):
+            self.ids, self.rows = q.column("id").to_numpy(), tiles.matrix(q.column("features"))
+            self.bound = q.column("bound").to_numpy()
+            self.nbr, self.dist = tiles.matrix(q.column("nbr"), np.int64), tiles.matrix(q.column("dist"))
+            self.closer = np.zeros(self.dist.shape, np.int64)
+
+        def fold(self, x: pa.Table) -> None:
+            some = cells.part(order[np.unique(x.column("place").to_numpy())])
+            step = max(1, tiles.TILE_CELLS // len(some.rows))
+            parts = (slice(s, s + step) for s in range(0, len(self.ids), step))
+            reached = np.flatnonzero(np.concatenate([some.hits(self.rows[part], self.bound[part], 1)[0].any(axis=1) for part in parts]))
+            others, weight = tiles.matrix(x.column("features")), x.column("copies").to_numpy()
+            if len(reached):
+                self.closer[reached] += tiles.closer_rows(self.rows[reached], others, weight, self.dist[reached], name, p)
+
+        def finish(self) -> Iterator[pa.RecordBatch]:
+            spread = np.repeat(self.ids, self.dist.shape[1])
+            columns = [pa.array(c) for c in (spread, self.nbr.ravel(), self.closer.ravel())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "nbr", "closer"])
+
+    counts = sweep(grouped, streamed(data, pairs, cells), groups, Counts, "id BIGINT, nbr BIGINT, closer BIGINT")
     # The row itself was counted whenever the pair's distance is above zero.
     own = F.when(F.col("dist") > 0, 1).otherwise(0)
     return counts.join(reach, ["id", "nbr"]).select("id", "nbr", (F.col("closer") - own + 1).alias("rank"))

@@ -85,3 +85,13 @@ def test_a_whole_power_is_multiplied_out():
         return time.perf_counter() - start
 
     assert min(seconds(3.0) for _ in range(3)) * 2 < min(seconds(3.1) for _ in range(3))
+
+
+@pytest.mark.parametrize("most", [1, 3])
+def test_closer_rows_are_counted_by_weight(most):
+    x, q = (4 * RNG.normal(size=(300, 12))).round(), (4 * RNG.normal(size=(40, 12))).round()
+    weight = RNG.integers(1, most + 1, 300)
+    d = gaps(q, x)
+    limits = np.sort(d, axis=1)[:, [0, 4, 5, 90, 299]]
+    want = ((d[:, :, None] < limits[:, None]) * weight[None, :, None]).sum(1)
+    assert (tiles.closer_rows(q, x, weight, limits, "euclidean", 2.0) == want).all()
