@@ -118,10 +118,10 @@ def silhouette_rows(
     A mean distance to a cluster is at least the distance to its centroid. So a
     position is first summed against its own cluster and the other one with the
     nearest centroid, which gives a first ``b``, and then only against clusters
-    whose centroid is nearer than that. Clusters are parted into blocks; only
-    pairs of blocks that some position needs are built, and what leaves a task
-    is one sum per position and cluster. ``steps`` holds the pairs as
-    ``pairs``. With ``share`` only a drawn part of the positions is scored, each
+    whose centroid is nearer than that. Positions that need a cluster stay in
+    groups past which it streams, and what leaves a task is one sum per position
+    and cluster. ``steps`` holds the blocks of positions and the clusters that
+    they need as ``pairs``. With ``share`` only a drawn part of the positions is scored, each
     still against all rows.
     """
     rows = embedding.join(clusters.select("id", "cluster"), "id")
@@ -147,12 +147,12 @@ def silhouette_rows(
     if slices > 1:
         least = F.min(F.struct("bound", "to", "to_blocks")).alias("m")
         nearest = nearest.groupBy("id", "cluster", "part", "y").agg(least).select("id", "cluster", "part", "y", "m.to", "m.to_blocks", "m.bound")
-    found = _sums(mine.unionByName(nearest.drop("bound")), placed, steps)
+    found = _sums(mine.unionByName(nearest.drop("bound")), placed, width, block_rows, steps)
     mean = F.col("total") / F.col("size")
     best = found.filter("cluster <> to").join(sizes.select(F.col("cluster").alias("to"), "size"), "to")
     best = best.select("id", "cluster", mean.alias("best"), F.col("to").alias("known"))
     later = bounds(scored.select("id", "cluster", "part", "y").join(best, ["id", "cluster"]))
-    found = found.unionByName(_sums(later.drop("bound"), placed, steps))
+    found = found.unionByName(_sums(later.drop("bound"), placed, width, block_rows, steps))
     totals = found.join(sizes.select(F.col("cluster").alias("to"), "size"), "to")
     own = F.col("to") == F.col("cluster")
     means = totals.groupBy("id", "cluster").agg(
@@ -198,29 +198,46 @@ def _bounds(rows: DataFrame, centres: list, width: int) -> DataFrame:
     return rows.mapInArrow(find, "id BIGINT, cluster INT, part INT, y ARRAY<DOUBLE>, `to` INT, to_blocks INT, bound DOUBLE")
 
 
-def _sums(needs: DataFrame, placed: DataFrame, steps: StepStore) -> DataFrame:
-    """``(id, cluster, to, total)``: summed distances to the cluster ``to``, by pairs of blocks."""
-    needs = steps.save(needs.withColumn("to_part", F.explode(F.sequence(F.lit(0), F.col("to_blocks") - 1))).drop("to_blocks"), "needs")
-    key = ["cluster", "part", "to", "to_part"]
-    pairs = steps.save(needs.select(*key).distinct(), "pairs")
-    there = placed.select(F.col("id").alias("other"), F.col("cluster").alias("to"), F.col("part").alias("to_part"), F.col("y").alias("at"), "copies")
-
-    def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not right.num_rows:  # a part that the draw left empty
-            return left.select(["id", "cluster", "to"]).append_column("total", pa.array(np.zeros(left.num_rows)))
-        a, b, copies = tiles.matrix(left.column("y")), tiles.matrix(right.column("at")), right.column("copies").to_numpy()
-        ids, others = left.column("id").to_numpy(), right.column("other").to_numpy()
-        total = np.empty(len(a))
-        step = max(1, tiles.TILE_CELLS // max(1, len(b)))
-        for s in range(0, len(a), step):
-            tile = tiles.tile_distance(a[s : s + step], b, "euclidean", 2.0)
-            tile[ids[s : s + step, None] == others] = 0.0
-            total[s : s + step] = tile @ copies
-        return pa.table({"id": left.column("id"), "cluster": left.column("cluster"), "to": left.column("to"), "total": pa.array(total)})
-
-    met = needs.groupBy(*key).cogroup(there.join(pairs, ["to", "to_part"]).groupBy(*key))
-    out = met.applyInArrow(kernel, "id BIGINT, cluster INT, `to` INT, total DOUBLE")
-    return steps.save(out.groupBy("id", "cluster", "to").agg(F.sum("total").alias("total")), "totals")
+def _sums(needs: DataFrame, placed: DataFrame, width: int, block_rows: int, steps: StepStore) -> DataFrame:
+    """``(id, cluster, to, total)``: summed distances to the cluster ``to``, whose rows stream past those that need it."""
+    needs = steps.save(needs.select("id", "cluster", "part", "to", "y"), "needs")
+    pairs = steps.save(needs.groupBy("cluster", "part", "to").agg(F.count("*").alias("n")), "pairs")
+    most = group_rows(needs, pairs.agg(F.sum("n")).first()[0] or 0, width, block_rows)
+    wanted = pairs.groupBy("to").agg(F.ceil(F.sum("n") / F.lit(most)).cast("bigint").alias("pieces"))
+    wanted = steps.save(row_numbers(wanted, steps, "first"), "wanted")
+    clusters, pieces = wanted.agg(F.count("*"), F.max("pieces")).first()
+    piece = draw("pivot", 7, 0, F.col("id"), F.lit(0)) % F.col("pieces")
+    here = needs.join(wanted, "to").select((F.col("first") + piece * clusters).alias("group"), "id", "cluster", "to", "y")
+    there = placed.select(F.col("cluster").alias("to"), F.col("id").alias("other"), F.col("y").alias("at"), "copies").join(wanted, "to")
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)).alias("piece")
+    there = there.select("other", "at", "copies", "first", each)
+    there = there.select((F.col("first") + F.col("piece") * clusters).alias("group"), F.lit(0).alias("place"), "other", "at", "copies")
+
+    class Totals:
+        def __init__(self, left: pa.Table):
+            self.left, self.y, ids = left, tiles.matrix(left.column("y")), left.column("id").to_numpy()
+            self.by_id = np.argsort(ids)
+            self.ids, self.total = ids[self.by_id], np.zeros(len(ids))
+
+        def fold(self, right: pa.Table) -> None:
+            at, copies, other = tiles.matrix(right.column("at")), right.column("copies").to_numpy(), right.column("other").to_numpy()
+            centre = at.mean(axis=0)
+            spot = np.minimum(np.searchsorted(self.ids, other), len(self.ids) - 1)
+            own = np.full(len(self.ids), -1)  # the column in which a row meets itself
+            own[self.by_id[spot[self.ids[spot] == other]]] = np.flatnonzero(self.ids[spot] == other)
+            step = max(1, tiles.TILE_CELLS // 8 // len(at))
+            for s in range(0, len(self.y), step):
+                tile = tiles.tile_distance(self.y[s : s + step] - centre, at - centre, "euclidean", 2.0)
+                mine = np.flatnonzero(own[s : s + step] >= 0)
+                tile[mine, own[s + mine]] = 0.0
+                self.total[s : s + step] += tile @ copies
+
+        def finish(self) -> Iterator[pa.RecordBatch]:
+            columns = [self.left.column(c).combine_chunks() for c in ("id", "cluster", "to")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(self.total)], names=["id", "cluster", "to", "total"])
+
+    schema = "id BIGINT, cluster INT, `to` INT, total DOUBLE"
+    return steps.save(sweep(here, there, max(1, clusters * (pieces or 0)), Totals, schema), "totals")
 
 
 def silhouette(

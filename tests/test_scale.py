@@ -5,8 +5,9 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-from helpers import as_lists, brute_knn, gaps, points
+from helpers import as_lists, brute_knn, embedding, gaps, points
 
+from lowfold import silhouette
 from lowfold.functions import tiles
 from lowfold.operators.cells import Cells
 from lowfold.operators.knn import knn_query, knn_self
@@ -95,3 +96,16 @@ def test_closer_rows_are_counted_by_weight(most):
     limits = np.sort(d, axis=1)[:, [0, 4, 5, 90, 299]]
     want = ((d[:, :, None] < limits[:, None]) * weight[None, :, None]).sum(1)
     assert (tiles.closer_rows(q, x, weight, limits, "euclidean", 2.0) == want).all()
+
+
+def test_silhouette_ships_a_cluster_once_to_a_group(spark):
+    y, labels = RNG.normal(size=(1500, 24)), RNG.integers(0, 3, 1500)
+    clusters = spark.createDataFrame([(i, int(c)) for i, c in enumerate(labels)], "id BIGINT, cluster INT")
+    before = shuffled(spark)
+    got = silhouette(embedding(spark, y), clusters, block_rows=16).first()[0]
+    assert shuffled(spark) - before < 15 * y.nbytes
+    d, same = gaps(y, y), labels[:, None] == np.arange(3)
+    means = d @ same / (same.sum(0) - np.eye(3)[labels])
+    a = means[same]
+    b = np.where(same, np.inf, means).min(1)
+    assert got == pytest.approx(((b - a) / np.maximum(a, b)).mean(), abs=1e-9)
