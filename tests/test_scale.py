@@ -6,12 +6,14 @@ from pathlib import Path
 import numpy as np
 import pytest
 from helpers import as_lists, brute_knn, embedding, gaps, points
+from pyspark.sql import functions as F
 
 from lowfold import silhouette
 from lowfold.functions import tiles
 from lowfold.operators.cells import Cells
 from lowfold.operators.knn import knn_query, knn_self
 from lowfold.operators.sweep import near_groups
+from lowfold.session import FREE_SHUFFLES, StepStore
 
 RNG = np.random.default_rng(31)
 
@@ -109,3 +111,20 @@ def test_silhouette_ships_a_cluster_once_to_a_group(spark):
     a = means[same]
     b = np.where(same, np.inf, means).min(1)
     assert got == pytest.approx(((b - a) / np.maximum(a, b)).mean(), abs=1e-9)
+
+
+def test_shuffle_files_of_a_step_are_freed(spark):
+    steps, before = StepStore(spark, "freed"), shuffled(spark)
+    held = spark.conf.get(FREE_SHUFFLES)
+    for k in range(4):
+        rows = spark.range(300_000).repartition(4, F.col("id") + k)
+        assert steps.save(rows, "rows").count() == 300_000
+    for _ in range(50):  # they go in the background
+        if shuffled(spark) - before < 1_000_000:
+            break
+        time.sleep(0.1)
+    assert shuffled(spark) - before < 1_000_000
+    assert spark.conf.get(FREE_SHUFFLES) == held
+    with pytest.raises(Exception, match="exists"):
+        steps._write(spark.range(1), f"{steps.root}/0000-rows")
+    assert spark.conf.get(FREE_SHUFFLES) == held
