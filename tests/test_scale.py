@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lowfold import silhouette
 from lowfold.functions import tiles
+from lowfold.operators import density
 from lowfold.operators.cells import Cells
 from lowfold.operators.knn import knn_query, knn_self
 from lowfold.operators.sweep import near_groups
@@ -128,3 +129,14 @@ def test_shuffle_files_of_a_step_are_freed(spark):
     with pytest.raises(Exception, match="exists"):
         steps._write(spark.range(1), f"{steps.root}/0000-rows")
     assert spark.conf.get(FREE_SHUFFLES) == held
+
+
+def test_tree_search_does_not_copy_rows_for_each_cell(spark):
+    x = RNG.normal(size=(700, 16))
+    df, steps = points(spark, x), StepStore(spark, "tree")
+    core = steps.save(density.core_distances(df, 5), "core")
+    one = density.spanning_tree(df, core, steps).toPandas()
+    many = density.spanning_tree(df, core, steps, list_rows=2, block_rows=8).toPandas()
+    assert sorted(zip(one.lo, one.hi, one.w.round(9))) == sorted(zip(many.lo, many.hi, many.w.round(9)))
+    left = max((sum(f.stat().st_size for f in d.rglob("*.parquet")) for d in Path(steps.root).glob("*-reached")), default=0)
+    assert left < x.nbytes
