@@ -19,7 +19,7 @@ then across the groups that remain, so a group's pairs are never written out.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,22 +32,56 @@ from .util import WORD, by_ids, components, held_by_ids, small_batches, steps, w
 
 #: A shingle that more documents give in one round is common.
 COMMON = 32
+#: Words of texts that are mixed in one go, which fit a core's cache.
+MIXED_WORDS = 8192
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STIR = np.uint64(0xBF58476D1CE4E5B9)
 
 
-def shingles(text: str | None, size: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the runs of ``size`` words; a shorter text is one run, no words are none."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.int64)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    run = min(size, len(words))
+def _mixed(h: np.ndarray, run: int) -> np.ndarray:
+    """Hashes of the runs of ``run`` words that begin at each word but the last ones."""
     out = np.full(len(h) - run + 1, run, np.uint64)
     for k in range(run):
-        out = (out ^ (out >> np.uint64(31))) * _MIX + h[k : len(h) - run + 1 + k]
-        out = (out ^ (out >> np.uint64(29))) * _STIR
-    return np.unique(out.view(np.int64))
+        out ^= out >> np.uint64(31)
+        out *= _MIX
+        out += h[k : len(h) - run + 1 + k]
+        out ^= out >> np.uint64(29)
+        out *= _STIR
+    return out.view(np.int64)
+
+
+def _distinct(found: np.ndarray) -> np.ndarray:
+    found.sort()
+    new = found[1:] != found[:-1]
+    return found if new.all() else found[np.concatenate([[True], new])]
+
+
+def shingles(texts: Iterable[str | None], size: int) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its runs of ``size`` words; a shorter text is one run, no words are none.
+
+    The words of several texts are mixed in one go, and runs across two texts left out.
+    """
+    held: list[np.ndarray] = []
+    count = 0
+
+    def out() -> Iterator[np.ndarray]:
+        runs, at = _mixed(np.concatenate([*held, np.zeros(size - 1, np.uint64)]), size), 0
+        for h in held:
+            if len(h) >= size:
+                yield _distinct(runs[at : at + len(h) - size + 1].copy())
+            else:
+                yield _mixed(h, len(h)) if len(h) else np.zeros(0, np.int64)
+            at += len(h)
+
+    for text in texts:
+        words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+        held.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
+        count += len(words)
+        if count >= MIXED_WORDS:
+            yield from out()
+            held, count = [], 0
+    if held:
+        yield from out()
 
 
 def _key(tokens: np.ndarray) -> bytes:
@@ -78,7 +112,7 @@ def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(t, size) for t in batch.column(3).to_pylist()]
+            found = [*shingles(batch.column(3).to_pylist(), size)]
             heads = [s[: _prefix(len(s), percent)] if len(s) else s for s in found]
             ends = np.cumsum([0, *map(len, heads)])
             head = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*heads, np.zeros(0, np.int64)])))
@@ -94,8 +128,8 @@ def _fetch(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cids, parts = [], []
-            for text, cid, key, low, high in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = shingles(text, size)
+            texts, *others = (c.to_pylist() for c in batch.columns)
+            for found, cid, key, low, high in zip(shingles(texts, size), *others, strict=True):
                 if _key(found) == key:
                     cids.append(cid)
                     parts.append(found[low:high])
@@ -174,10 +208,8 @@ class _Join:
     def _uncommon(self, given: DataFrame, common: DataFrame, state: DataFrame) -> DataFrame:
         """Links of pairs that meet in an uncommon token. Such a token has a bounded number of documents."""
         rare = with_small(given, common, ["token"], "left_anti")
-        met = rare.groupBy("token").agg(F.collect_list(F.struct("cid", "n")).alias("docs")).filter(F.size("docs") > 1)
-        pairs = met.select(F.explode("docs").alias("x"), "docs")
-        pairs = pairs.select("x", F.explode(F.filter("docs", lambda d: d["cid"] > F.col("x.cid"))).alias("y"))
-        pairs = pairs.select(F.col("x.cid").alias("x"), F.col("x.n").alias("nx"), F.col("y.cid").alias("y"), F.col("y.n").alias("ny")).filter(self._sized("nx", "ny"))
+        x, y = (rare.select("token", F.col("cid").alias(c), F.col("n").alias(f"n{c}")) for c in ("x", "y"))
+        pairs = x.join(y, "token").filter("x < y").filter(self._sized("nx", "ny"))
         product = pairs.groupBy("x", "y", "nx", "ny").agg(F.count(F.lit(1)).alias("c"))
         product = self.save(product, "product")
         for side in ("x", "y"):
@@ -198,12 +230,15 @@ class _Join:
         best = best.select((-F.col("best.at.col1")).alias("x"), (-F.col("best.at.col2")).alias("y")).distinct()
         best = self.save(candidates.join(best, ["x", "y"]).select("x", "y", "nx", "ny"), "best")
         wanted = best.select(F.explode(F.array("x", "y")).alias("cid")).distinct()
-        links = self._verified(best, wanted)
+        sets = self._whole(wanted)
+        links = self._verified(best, sets, sets.count())
         links = links if known is None else known.unionByName(links)
         rest = candidates.join(best.select("x", "y"), ["x", "y"], "left_anti")
         rest = self._across(rest, links).select("x", "y", "nx", "ny")
         rest = self.save(rest, "rest")
-        more = self._verified(rest, rest.select(F.explode(F.array("x", "y")).alias("cid")).distinct())
+        # Each document of a pair is in a best pair, so its set is there.
+        ends = self.save(rest.select(F.explode(F.array("x", "y")).alias("cid")).distinct(), "ends")
+        more = self._verified(rest, held_by_ids(sets, ends, "cid"), ends.count())
         return self.save(links.unionByName(more), "links")
 
     def _across(self, pairs: DataFrame, links: DataFrame) -> DataFrame:
@@ -214,11 +249,13 @@ class _Join:
             pairs = with_small(pairs, reach.select(F.col("id").alias(side), F.col("component").alias(f"g{side}")), [side], "left", rows)
         return pairs.filter(F.coalesce("gx", "x") != F.coalesce("gy", "y")).drop("gx", "gy")
 
-    def _verified(self, pairs: DataFrame, wanted: DataFrame) -> DataFrame:
-        """``(a, b)`` of the pairs ``(x, y, nx, ny)`` that are linked, by their whole sets."""
+    def _whole(self, wanted: DataFrame) -> DataFrame:
+        """``(cid, tokens)``, the whole sets of ``wanted(cid)``."""
         whole = self.base.join(wanted, "cid").select("name", "cid", "key", F.lit(0).cast("long").alias("low"), F.col("n").alias("high"))
-        sets = self.save(_fetch(self.docs, self.save(whole, "whole"), self.size), "tokens")
-        rows = sets.count()
+        return self.save(_fetch(self.docs, self.save(whole, "whole"), self.size), "tokens")
+
+    def _verified(self, pairs: DataFrame, sets: DataFrame, rows: int) -> DataFrame:
+        """``(a, b)`` of the pairs ``(x, y, nx, ny)`` that are linked, by their whole sets, of which there are about ``rows``."""
         for side in ("x", "y"):
             # Sets are longer than the rows that with_small broadcasts, so fewer of them are small.
             pairs = with_small(pairs, sets.select(F.col("cid").alias(side), F.col("tokens").alias(f"t{side}")), [side], rows=rows * 500)
@@ -250,7 +287,8 @@ class _Join:
         near = near.groupBy("cid", "n").agg(F.max(F.struct("c", (-F.col("hub")).alias("hub"), "hub_n")).alias("m"))
         stars = near.select(F.least("cid", -F.col("m.hub")).alias("x"), F.greatest("cid", -F.col("m.hub")).alias("y"), F.col("n").alias("nx"), F.col("m.hub_n").alias("ny")).dropDuplicates(["x", "y"])
         stars = self.save(stars, "stars")
-        links = self.save(links.unionByName(self._verified(stars, stars.select(F.explode(F.array("x", "y")).alias("cid")).distinct())), "links")
+        sets = self._whole(stars.select(F.explode(F.array("x", "y")).alias("cid")).distinct())
+        links = self.save(links.unionByName(self._verified(stars, sets, sets.count())), "links")
         # What is left are pairs across groups: each document outside the group of its token's middle, with the others.
         reach = components(links, self.store)
         reached = reach.count()

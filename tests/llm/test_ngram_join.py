@@ -108,3 +108,35 @@ def test_many_texts_under_one_id(spark):
     left = [tuple(r) for r in ngram_join.one_of_each(docs).collect()]
     assert len(left) == 3000 and len({t.removesuffix(" more") for _, t in left}) == 3000
     assert {r.component_id for r in ngram_join.near_copies(docs).collect()} == {None, 1}
+
+
+def test_shingles_of_many_texts(monkeypatch):
+    """Texts mixed in one go have the sets that each has alone, also odd ones and those around the end of a go."""
+    texts = ["One two three", None, "", " \n\t", "a", prose(1, 300), "\ud800 b c d e", *(prose(k, k % 9) for k in range(60)), "one TWO three", None]
+    alone = [next(iter(ngram_join.shingles([t], 4))).tolist() for t in texts]
+    for words in (1, 7, 40, 1 << 20):
+        monkeypatch.setattr(ngram_join, "MIXED_WORDS", words)
+        assert [s.tolist() for s in ngram_join.shingles(texts, 4)] == alone
+    assert alone[0] == alone[-2] and [len(s) for s in alone[:5]] == [1, 0, 0, 0, 1] and alone[5] == sorted(set(alone[5]))
+    assert [*ngram_join.shingles([], 4)] == []
+
+
+def test_steps_of_the_join(spark, monkeypatch):
+    """Postings meet without being gathered into lists, and each search for pairs fetches its documents once; rows without id or text and copies stay as they were."""
+    saved = []
+    save = ngram_join._Join.save
+
+    def seen(self, df, name):
+        saved.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return save(self, df, name)
+
+    monkeypatch.setattr(ngram_join, "COMMON", 3)
+    monkeypatch.setattr(ngram_join._Join, "save", seen)
+    texts = corpus()
+    rows = [*texts.items(), *[(7, texts[7])] * 3, (None, texts[130]), (None, None), (None, ""), (500, None)]
+    got = ngram_join.near_copies(spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(5)).collect()
+    want = brute(texts, 4, 85)
+    assert len(got) == len(rows) and all((r.n, r.component_id) == want[r.doc_id] for r in got if r.doc_id in texts)
+    assert sorted(((r.n, r.component_id) for r in got if r.doc_id not in texts), key=str) == sorted([want[130], (0, None), (0, None), (0, 500)], key=str)
+    plans = dict(saved)
+    assert "collect_list" not in plans["product"] and [name for name, _ in saved].count("tokens") == 3
