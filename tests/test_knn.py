@@ -1,8 +1,9 @@
 import numpy as np
 import pytest
 from helpers import as_lists, brute_knn, points
+from pyspark.sql import functions as F
 
-from lowfold.operators import forest
+from lowfold.operators import descent, forest
 from lowfold.operators.cells import build_cells
 from lowfold.operators.descent import knn_descent
 from lowfold.operators.knn import knn_graph, knn_query, knn_self, merge_top_k, reverse_graph
@@ -142,3 +143,24 @@ def test_a_forest_saves_most_of_the_changes(spark):
     assert len(rounds["forest"]) < len(rounds["random"]) and 4 * sum(rounds["forest"]) <= sum(rounds["random"])
     with pytest.raises(ValueError, match="start"):
         knn_descent(points(spark, x), 10, start="tree")
+
+
+@pytest.mark.parametrize("hub_rows", [1024, 33])
+def test_tightened_offers_leave_the_round_as_it_is(spark, hub_rows):
+    """Most offers are left out before they are shuffled, none that stays on a list; copies, short lists and groups around hubs included."""
+    x = np.random.default_rng(5).normal(size=(300, 12))
+    x[40:60] = x[40]
+    data, width = points(spark, x), 10
+    pairs = descent.seed_pairs(data, 300, width, 1)
+    pairs = pairs.filter("id <> 7 or nbr % 2 = 0").unionByName(spark.sql("SELECT id, 3L AS nbr FROM range(4, 60)")).distinct()
+    lists = StepStore(spark, "test").save(descent.pair_distances(pairs, data, "euclidean", 2.0).withColumn("is_new", F.lit(1)), "lists")
+    got = [
+        sorted(map(tuple, descent.descent_round(data, lists, width, "euclidean", 2.0, StepStore(spark, "test"), {}, hub_rows, 64, tighten).collect()))
+        for tighten in (True, False)
+    ]
+    assert got[0] == got[1] and len(got[0]) == 300 * width
+
+    full = lists.groupBy("id").agg(F.max("dist").alias("bound"))
+    members = descent.group_members(lists).join(data, "id").join(full, "id").select("c", "id", "features", "bound")
+    offers = [descent._offers(members, 40, width, "euclidean", 2.0, *some).count() for some in ((lists,), ())]
+    assert offers[0] * 3 < offers[1]
